@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunkbpe, packing, token_output
+from . import chunkbpe, hilbert, packing, quality, token_output
 from .common import documents
 
 
@@ -27,8 +27,17 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunkbpe.encode_decode(documents(spark, sf_dir), _tokenizer("word_bpe_49k.json"), with_ids=False)
 
 
+def op4_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert.shard(documents(spark, sf_dir), 24)
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality.quality_rules(documents(spark, sf_dir), keep_text=False)
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "char_distance", "word_distance")
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_token_output, op2_pack, op3_bpe)}
+    return {f.__name__: f for f in (op1_token_output, op2_pack, op3_bpe, op4_hilbert_shards, op5_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
