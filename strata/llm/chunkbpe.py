@@ -99,6 +99,7 @@ class ChunkEncoder:
                 middles.append((t, t[: a.start()], t[a.start() : last + 1], t[last + 1 :]))
             self.kept += len(t)
         w = self.words
+        w.rotate()
         w.learn(set().union(*[w.pieces(m[2]) for m in middles]))
         for t, head, middle, tail in middles:
             self.memo[t] = (head, w.encode(middle), w.decode(middle), tail)

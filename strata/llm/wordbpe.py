@@ -32,7 +32,7 @@ _SINGLE = re.compile(r"(?<=\S)(?= \S)")
 class WordEncoder:
     """encode(text) gives the ids as little-endian unsigned 32-bit bytes; decode(text) what the tokenizer decodes those ids to."""
 
-    def __init__(self, path: str, limit: int = 600_000, decoded: bool = False):
+    def __init__(self, path: str, limit: int = 850_000, decoded: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -98,28 +98,39 @@ class WordEncoder:
 
     def _run(self, texts: list[str]) -> list[bytes]:
         cut = [self.pieces(t) for t in texts]
-        self.learn(set().union(*[p for p in cut if p is not None]))
+        self.rotate()
+        get = self.young.get
+        found = [list(map(get, p or ())) for p in cut]
+        missed = [i for i, v in enumerate(found) if None in v]
+        self.learn({p for i in missed for p, v in zip(cut[i], found[i]) if v is None})
         get = self.young.__getitem__
-        return [self.whole(t) if p is None else b"".join(map(get, p)) for t, p in zip(texts, cut, strict=True)]
+        for i in missed:
+            found[i] = map(get, cut[i])
+        return [self.whole(t) if p is None else b"".join(v) for t, p, v in zip(texts, cut, found, strict=True)]
 
     def decode(self, text: str) -> str:
         """Of a text encoded just before; only where tokens are joined by a blank."""
         words = self.words
         return " ".join([w for w in map(words.__getitem__, self.pieces(text)) if w])
 
-    def learn(self, pieces: set[str]) -> None:
+    def rotate(self) -> None:
         if len(self.young) > self.limit:
             self.old, self.young, self.words = self.young, {"": b""}, {"": ""}
+
+    def learn(self, pieces: set[str]) -> None:
         fresh = pieces.difference(self.young)
         if not self.decoded and self.old:
             known = fresh.intersection(self.old)
-            self.young.update((p, self.old[p]) for p in known)
+            self.young.update([(p, self.old[p]) for p in known])
             fresh -= known
-        plain = [p for p in fresh if self.plain(p)]
+        if self.kind == "bytes":
+            plain = [p for p in fresh if p.rfind(" ") == 0 and len(p) > 1]
+        else:
+            plain = [p for p in fresh if p.isascii() and p.isprintable()] if self.kind == "words" else []
         if plain:
             self.together(plain)
         if len(plain) < len(fresh):
-            self.apart([p for p in fresh if not self.plain(p)])
+            self.apart(list(fresh.difference(plain)))
 
     def apart(self, pieces: list[str]) -> None:
         for p, e in zip(pieces, self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False), strict=True):
@@ -128,14 +139,8 @@ class WordEncoder:
             if self.decoded:
                 self.words[p] = self.tokenizer.decode(ids, skip_special_tokens=False)
 
-    def plain(self, piece: str) -> bool:
-        """Whether the piece may be encoded with others in one call, its own ids told from theirs by the marks that its tokens carry."""
-        if self.kind == "bytes":
-            return len(piece) > 1 and piece[0] == " " and piece.find(" ", 1) < 0
-        return self.kind == "words" and piece.isascii() and piece.isprintable()
-
     def together(self, pieces: list[str]) -> None:
-        """Ids of each piece from one call. Byte-level: a piece's first token alone starts with the mark of a blank. Words: the last token of each pre-token ends with the suffix, and an ASCII piece has as many as its pattern finds."""
+        """Ids of each piece from one call, told apart by the marks that tokens carry. Byte-level: a piece's first token alone starts with the mark of a blank. Words: the last token of each pre-token ends with the suffix, and an ASCII piece has as many as its pattern finds."""
         first = self.kind == "bytes"
         ids = np.array(self.tokenizer.encode(("" if first else " ").join(pieces), add_special_tokens=False).ids, np.uint32)
         marks = np.flatnonzero(self.marked[ids])
