@@ -227,6 +227,11 @@ def replace(text: str, f: Feistel) -> tuple[str, list[tuple[str, int, int]]]:
         kind = m.lastgroup if m.lastgroup in KINDS else next(k for k in ("secret", *KINDS) if m[k] is not None)
         start, end = m.span("value") if kind == "secret" else m.span()
         new = _secret(m["value"], f) if kind == "secret" else KINDS[kind](m[0], f)
+        if kind == "card" and new is None:  # a card and the number after it
+            for cut in (m.start() + i for i, c in enumerate(m[0]) if c in " -"):
+                if 13 <= len(_digits(text[start:cut])) <= 19 and (new := _card(text[start:cut], f)):
+                    end = cut
+                    break
         if new is None:
             pos = m.end() if m.end() > pos else pos + 1
             later = _FIND.search(text, m.start() + 1, m.end())
