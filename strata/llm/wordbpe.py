@@ -67,6 +67,7 @@ class WordEncoder:
         self.young: dict = {"": b""}
         self.old: dict = {}
         self.words: dict = {"": ""}
+        self.old_words: dict = {}
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -115,13 +116,16 @@ class WordEncoder:
 
     def rotate(self) -> None:
         if len(self.young) > self.limit:
-            self.old, self.young, self.words = self.young, {"": b""}, {"": ""}
+            self.old, self.young = self.young, {"": b""}
+            self.old_words, self.words = self.words, {"": ""}
 
     def learn(self, pieces: set[str]) -> None:
         fresh = pieces.difference(self.young)
-        if not self.decoded and self.old:
+        if self.old:
             known = fresh.intersection(self.old)
             self.young.update([(p, self.old[p]) for p in known])
+            if self.decoded:
+                self.words.update([(p, self.old_words[p]) for p in known])
             fresh -= known
         if self.kind == "bytes":
             plain = [p for p in fresh if p.rfind(" ") == 0 and len(p) > 1]
@@ -170,5 +174,5 @@ def encoder(path: str, decoded: bool = False) -> WordEncoder:
     """One per Python worker, so that its memo lasts over batches and tasks."""
     key = (path, decoded)
     if key not in _ENCODERS:
-        _ENCODERS[key] = WordEncoder(path, decoded=decoded)
+        _ENCODERS[key] = WordEncoder(path, 500_000 if decoded else 850_000, decoded)
     return _ENCODERS[key]
