@@ -45,3 +45,12 @@ def partitions_for(rows: int, per_partition: int) -> int:
 
 def blank_if_null(column: str):
     return F.coalesce(F.col(column), F.lit(""))
+
+
+#: rows of a few longs that may be broadcast (64 MB at most)
+SMALL_ROWS = 2_000_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """df with a broadcast hint where its counted rows stay below a fixed bound; as it is beyond, where Spark shuffles. df: a written table of a few longs."""
+    return F.broadcast(df) if df.count() <= SMALL_ROWS else df

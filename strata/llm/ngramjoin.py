@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_table, materialize, partitions_for
+from .common import drop_table, materialize, partitions_for, small
 from .components import connected_components
 
 LONG = 16
@@ -122,13 +122,13 @@ def _neighbours(batches):
 
 def verified(pairs: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """The pairs (u, v) of doc_ids whose sets have num / den similarity at least; docs (doc_id, text). A written table."""
-    ids = pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct()
+    ids = materialize(pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct(), "ids")
 
     def sets(batches):
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingles(t, k).tobytes() for t in b.column(1).to_pylist()], pa.binary())], ["id", "s"])
 
-    s = docs.join(ids, docs.doc_id == ids.id, "left_semi").select("doc_id", "text").mapInArrow(sets, "id long, s binary")
+    s = docs.join(small(ids), docs.doc_id == ids.id, "left_semi").select("doc_id", "text").mapInArrow(sets, "id long, s binary")
 
     def keep(batches):
         for b in batches:
@@ -143,7 +143,9 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> D
             yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(ok, pa.bool_())), b.column(1).filter(pa.array(ok, pa.bool_()))], ["u", "v"])
 
     su, sv = s.select(F.col("id").alias("u"), F.col("s").alias("x")), s.select(F.col("id").alias("v"), F.col("s").alias("y"))
-    return materialize(pairs.join(su, "u").join(sv, "v").select("u", "v", "x", "y").mapInArrow(keep, "u long, v long").distinct(), "verified")
+    out = materialize(pairs.join(su, "u").join(sv, "v").select("u", "v", "x", "y").mapInArrow(keep, "u long, v long").distinct(), "verified")
+    drop_table(ids)
+    return out
 
 
 def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -154,6 +156,8 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     cids = full.groupBy("d1", "d2").agg(F.min("doc_id").alias("cid"), F.count("*").alias("copies"))
     cids = materialize(cids, "classes")
     classes = materialize(full.join(cids, (full.doc_id == cids.cid) & (full.d1 == cids.d1) & (full.d2 == cids.d2)).select("cid", "n", "first", "m1", "m2").dropDuplicates(["cid"]), "sets")
+    slim = materialize(feats.select("doc_id", "n", "d1", "d2"), "rows")
+    drop_table(feats)  # the first shingles of a class are kept once
     n_classes = classes.count()
 
     # neighbours by min-hash: a sound start, what it misses is found below
@@ -161,17 +165,22 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     for m in ("m1", "m2"):
         r = classes.select(F.col(m).alias("k"), "n", "cid").repartitionByRange(partitions_for(n_classes, 100_000), "k", "n", "cid").sortWithinPartitions("k", "n", "cid").mapInArrow(_neighbours, "u long, v long")
         near = r if near is None else near.unionByName(r)
-    first_links = verified(materialize(near.distinct(), "near"), texts, k, num, den)
+    near = materialize(near.distinct(), "near")
+    first_links = verified(near, texts, k, num, den)
+    drop_table(near)
     groups = connected_components(first_links)
 
-    grouped = materialize(classes.join(groups, classes.cid == groups.node, "left").select("cid", "n", F.coalesce("component", "cid").alias("grp"), "first"), "grouped")
-    drop_table(classes)
+    named_groups = small(groups)
+    grouped = classes.join(named_groups, classes.cid == named_groups.node, "left").select("cid", "n", F.coalesce("component", "cid").alias("grp"), "first")
     pairs = materialize(_candidates(grouped, num, den), "candidates")
+    drop_table(classes)
     second_links = verified(pairs, texts, k, num, den)
+    drop_table(pairs)
     roots = connected_components(first_links.unionByName(second_links))
     named = cids.join(roots, cids.cid == roots.node, "left").select("d1", "d2", F.coalesce("component", "cid").alias("component_id"))
+    full = slim.where("n > 0 and doc_id is not null")
     linked = full.select("doc_id", F.col("n").alias("n_shingles"), "d1", "d2").join(named, ["d1", "d2"]).select("doc_id", "n_shingles", "component_id")
-    alone = feats.where("n = 0 or doc_id is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    alone = slim.where("n = 0 or doc_id is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone)
 
 
@@ -200,11 +209,11 @@ def _candidates(grouped: DataFrame, num: int, den: int) -> DataFrame:
     lists = base.groupBy("token").agg(F.count("*").alias("c"), F.min("grp").alias("lo"), F.max("grp").alias("hi")).where("c > 1 and lo != hi")
     lists = materialize(lists.select("token", "c"), "lists")
     long = lists.where(F.col("c") > LONG).select("token")
-    shared = materialize(base.join(lists, "token").select("token", "cid", "n", "grp", (F.col("c") > LONG).alias("long")), "shared")
+    shared = materialize(base.join(small(lists), "token").select("token", "cid", "n", "grp", (F.col("c") > LONG).alias("long")), "shared")
 
     # documents with a long list among their first choose again, behind all short ones
-    again = shared.where("long").select("cid").distinct()
-    rows = grouped.join(again, "cid", "left_semi")
+    again = materialize(shared.where("long").select("cid").distinct(), "again")
+    rows = grouped.join(small(again), "cid", "left_semi")
     theirs = rows.select("cid", "n", "grp", "first").mapInArrow(_postings(num, den, True), schema).join(long, "token", "left_semi").groupBy("cid").agg(F.collect_list("token").alias("skip"))  # of the stored ones only
 
     def choose(batches):
@@ -232,8 +241,8 @@ def _candidates(grouped: DataFrame, num: int, den: int) -> DataFrame:
     # the others keep theirs; what the choice has added meets every list, not only those shared before
     kept = shared.join(again, "cid", "left_anti").select("token", "cid", "n", "grp", F.lit(0).alias("kind"))
     new = materialize(chosen, "chosen")
-    fresh = new.where("kind = 0").select("token").distinct().join(lists.select("token"), "token", "left_anti")
-    others = base.join(fresh, "token", "left_semi").join(again, "cid", "left_anti").select("token", "cid", "n", "grp", F.lit(0).alias("kind"))
+    fresh = materialize(new.where("kind = 0").select("token").distinct().join(lists.select("token"), "token", "left_anti"), "fresh")
+    others = base.join(small(fresh), "token", "left_semi").join(again, "cid", "left_anti").select("token", "cid", "n", "grp", F.lit(0).alias("kind"))
     merged = materialize(kept.unionByName(new).unionByName(others).distinct(), "merged")
     a, b = merged.alias("a"), merged.alias("b")
     fits = (F.col("a.token") == F.col("b.token")) & (F.col("a.cid") < F.col("b.cid")) & (F.col("a.grp") != F.col("b.grp"))
