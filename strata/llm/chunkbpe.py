@@ -43,8 +43,13 @@ class Cutter:
     def grow(self, n: int) -> None:
         if len(self.power) < n:
             with np.errstate(over="ignore"):
-                self.power = np.cumprod(np.concatenate([[1], np.full(2 * n, _BASE & (2**64 - 1), np.uint64)]), dtype=np.uint64)
-                self.inverse = np.cumprod(np.concatenate([[1], np.full(2 * n, pow(_BASE, -1, 2**64), np.uint64)]), dtype=np.uint64)
+                self.power, self.inverse = (self.powers(b, 2 * n) for b in (_BASE, pow(_BASE, -1, 2**64)))
+
+    @staticmethod
+    def powers(base: int, n: int) -> np.ndarray:
+        x = np.full(n, base, np.uint64)
+        x[0] = 1
+        return np.cumprod(x, dtype=np.uint64)
 
     def places(self, text: str) -> list[int]:
         x = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
