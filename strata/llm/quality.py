@@ -25,7 +25,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import drop_table, materialize
 
 #: Common words by language.
 COMMON_WORDS = {
@@ -124,16 +124,20 @@ def references(measures: DataFrame) -> dict[str, tuple[list[float], list[float]
 
 
 def quality_rules(docs: DataFrame, keep_text: bool = True) -> DataFrame:
-    """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, char_distance, word_distance, base_failed and kept. The measures are written to a scratch table (with the text if it is kept), so that texts are read once."""
+    """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, char_distance, word_distance, base_failed and kept. The measures are written to a scratch table, so that texts are read once; where the text is kept they are read twice instead of being written again."""
     added = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "char_distance", "word_distance", "base_failed", "kept"]
     m = measured(docs.drop(*added))
-    m = materialize(m if keep_text else m.drop("text"), "measures")
+    slim = materialize(m.select("_lang", "_m", "_chars") if keep_text else m.drop("text"), "measures")
     total = F.aggregate("_chars", F.lit(0).cast("long"), lambda a, x: a + x)
     chars = words = F.when(F.lit(False), F.lit(0.0))
-    for k, (c, w) in references(m).items():
+    for k, (c, w) in references(slim).items():
         chars = chars.when(F.col("_lang") == k, distance(F.col("_chars"), c))
         if w:
             words = words.when(F.col("_lang") == k, distance(F.col("_m.c"), w))
+    if keep_text:
+        drop_table(slim)
+    else:
+        m = slim
     m = m.withColumns({"n_words": F.col("_m.n"), "n_repeat_words": F.col("_m.r"), "n_symbols": F.get("_chars", F.lit(CLASSES.index(SYMBOLS)))})
     m = m.withColumns({"word_chars": total - F.get("_chars", F.lit(CLASSES.index(SPACE))), "_total": total, "char_distance": chars, "word_distance": words})
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
