@@ -57,12 +57,12 @@ def as_date(c: Column) -> Column:
 
 def compact(x: Column) -> Column:
     """Six significant digits without trailing zeros; an exponent from 1e6 on and below 1e-4."""
-    s = F.format_string("%.5e", x)
-    exponent = F.split(s, "e")[1].cast("int")
+    s = F.when(x.isNotNull(), F.format_string("%.5e", x))
+    exponent = F.get(F.split(s, "e"), F.lit(1)).try_cast("int")
     exact = x.cast("decimal(38,18)")
     plain = F.lit(None).cast("decimal(38,12)")
     for e in range(-4, 6):  # ties go to the even digit
         plain = F.when(exponent == e, F.bround(exact, 5 - e).cast("decimal(38,12)")).otherwise(plain)
     plain = F.regexp_replace(F.regexp_replace(plain.cast("string"), "0+$", ""), r"\.$", "")
-    mantissa = F.regexp_replace(F.regexp_replace(F.split(s, "e")[0], "0+$", ""), r"\.$", "")
-    return F.when(x == 0, "0").when(exponent.between(-4, 5), plain).otherwise(F.concat(mantissa, F.lit("e"), F.split(s, "e")[1]))
+    mantissa = F.regexp_replace(F.regexp_replace(F.get(F.split(s, "e"), F.lit(0)), "0+$", ""), r"\.$", "")
+    return F.when(x == 0, "0").when(exponent.between(-4, 5), plain).otherwise(F.concat(mantissa, F.lit("e"), F.get(F.split(s, "e"), F.lit(1))))

@@ -83,8 +83,8 @@ def entities(text: Column) -> Column:
     depth = F.transform(F.filter(depth, lambda y: y["v"].between(5, 9999)), lambda y: _entity(y["x"], 0, "DEPTH", compact(y["v"]), F.when(F.contains(unit(y["x"]), F.lit("TVD")), "mTVD").when(F.contains(unit(y["x"]), F.lit("MD")), "mMD").otherwise("m")))
     bit = F.transform(spans(text, INCH), lambda x: F.struct(x.alias("x"), _inches(x["s"]).alias("v")))
     bit = F.transform(F.filter(bit, lambda y: y["v"].between(3, 40)), lambda y: _entity(y["x"], 1, "BIT_SIZE", compact(y["v"]), F.lit('"')))
-    said = lambda x: F.regexp_extract(x["s"], MEASUREMENT, 2)
-    measure = F.transform(spans(text, MEASUREMENT), lambda x: _entity(x, 2, "MEASUREMENT", compact(_number(F.regexp_extract(x["s"], MEASUREMENT, 1))), F.when(F.lower(said(x)).isin("ton", "tons"), "MT").otherwise(said(x))))
+    said = lambda x: F.regexp_replace(x["s"], r"^-?[0-9.,]+\s*", "")  # noqa: E731  of the match alone: its right edge is gone
+    measure = F.transform(spans(text, MEASUREMENT), lambda x: _entity(x, 2, "MEASUREMENT", compact(_number(F.regexp_extract(x["s"], r"^-?\d{1,6}(?:[.,]\d{1,3})?", 0))), F.when(F.lower(said(x)).isin("ton", "tons"), "MT").otherwise(said(x))))
     clock = F.transform(spans(text, CLOCK), lambda x: _entity(x, 3, "TIME", x["s"], none))
     gear = F.transform(spans(text, GEAR), lambda x: _entity(x, 4, "EQUIPMENT", F.upper(x["s"]), none))
     ordered = F.array_sort(F.concat(depth, bit, measure, clock, gear))

@@ -19,11 +19,16 @@ spm ppm md tvd mmd mtvd depth depths m mm cm km made make set pull pulled pulls
 use used using above below after prior while during performed continued started finished complete completed""".split()
 
 
-def english_stop_words() -> list[str]:
-    """Spark's own English list."""
-    from pyspark.ml.feature import StopWordsRemover
+ENGLISH_STOP = """a about above after again against all am an and any are as at be because been before being below between
+both but by can could did do does doing down during each few for from further had has have having he her here hers herself
+him himself his how i if in into is it its itself just me more most my myself no nor not now of off on once only or other
+our ours ourselves out over own same she should so some such than that the their theirs them themselves then there these
+they this those through to too under until up very was we were what when where which while who whom why will with would
+you your yours yourself yourselves""".split()
+
 
-    return StopWordsRemover.loadDefaultStopWords("english")
+def english_stop_words() -> list[str]:
+    return ENGLISH_STOP
 
 
 def terms(text: Column, pattern: str = WORD, stop: list[str] | None = None) -> Column:
