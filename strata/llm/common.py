@@ -51,6 +51,6 @@ def blank_if_null(column: str):
 SMALL_ROWS = 2_000_000
 
 
-def small(df: DataFrame) -> DataFrame:
-    """df with a broadcast hint where its counted rows stay below a fixed bound; as it is beyond, where Spark shuffles. df: a written table of a few longs."""
-    return F.broadcast(df) if df.count() <= SMALL_ROWS else df
+def small(df: DataFrame, longs: int = 4) -> DataFrame:
+    """df, rows of about that many longs, with a broadcast hint where its counted rows stay below a fixed bound; as it is beyond, where Spark shuffles."""
+    return F.broadcast(df) if df.count() * max(longs, 4) <= 4 * SMALL_ROWS else df

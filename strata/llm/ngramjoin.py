@@ -12,12 +12,16 @@ is common to both: these posting lists are merged, the rest need not be.
   document, and the document takes further short lists in its place. A document
   with too few short lists keeps its first ones, long ones too, and meets in
   those lists with all documents that have them among their first.
-* What shares a list and can still reach the size bound is a candidate. The
-  shingles outside the merged lists are probed by binary search in the sorted
-  set of the other document, and pairs that reach the required overlap stay.
+* What shares a list, can still reach the size bound and passes the parity
+  sketch is a candidate. The sketch of a set has the parity of its shingles in
+  each of BITS cells; sets that differ in d shingles have sketches that differ
+  in d bits at most, so the test, made inside the join, loses no pair.
+* The shingles outside the merged lists are probed by binary search in the
+  sorted set of the other document, and pairs that reach the required overlap
+  stay.
 
 Documents of equal sets are one class beforehand. Neighbours in the order of
-two min-hashes are verified first and joined into groups; pairs inside a group
+min-hashes (KEYS orders) are verified first and joined into groups; pairs inside a group
 need no further look when only connection is asked, so groups of thousands of
 near copies never give all their pairs. No list is collected: lists are joined
 with themselves, where Spark splits hot ones.
@@ -42,6 +46,9 @@ from .common import drop_table, materialize, partitions_for, small
 from .components import connected_components
 
 LONG = 16
+#: longs of a parity sketch, orders by min-hashes, rows before one among which its neighbour is sought
+WORDS, KEYS, BEHIND = 8, 3, 8
+SKETCH = [f"b{i}" for i in range(WORDS)]
 _MUL = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)]
 _TABLE = bytes(32 if c in b"\t\n\x0b\x0c\r" else c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -86,38 +93,71 @@ def required(n: int, num: int, den: int) -> int:
     return -(-num * n // den)
 
 
+def sketch(x: np.ndarray) -> np.ndarray:
+    """The parity of the shingles in each cell, packed into WORDS longs."""
+    cells = 64 * WORDS
+    at = (x * _MUL[7]) >> np.uint64(32)
+    return np.packbits((np.bincount((at % np.uint64(cells)).astype(np.int64), minlength=cells) & 1).astype(np.uint8)).view(np.int64)
+
+
+def most_differing(total, num: int, den: int):
+    """Shingles in one set alone, of two sets of total shingles together, at similarity num / den at most."""
+    return total - 2 * (-(-num * total // (num + den)))
+
+
+def _signed(x: int) -> int:
+    return (x & (2**64 - 1)) - 2**63
+
+
 def _features(k: int, num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
+        keys = [f"m{i}" for i in range(KEYS)]
         for b in batches:
-            cols: list[list] = [[], [], [], [], [], []]
+            n, d1, d2, first, bits, mins = [], [], [], [], [], []
             for t in b.column(1).to_pylist():
                 x = shingles(t, k)
-                n = len(x)
+                n.append(len(x))
                 d = xxhash.xxh3_128_intdigest(x.tobytes())
-                p = n - required(n, num, den) + 1
-                mins = [int((x * _MUL[j]).min()) if n else 0 for j in range(4)]
-                for c, v in zip(cols, (n, (d & (2**64 - 1)) - 2**63, (d >> 64) - 2**63, x[: 2 * p + 16].tobytes(), ((mins[0] ^ mins[1] * 3) & (2**64 - 1)) - 2**63, ((mins[2] ^ mins[3] * 3) & (2**64 - 1)) - 2**63), strict=True):
-                    c.append(v)
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, t) for c, t in zip(cols, kinds, strict=True))], ["doc_id", "n", "d1", "d2", "first", "m1", "m2"])
+                d1.append(_signed(d))
+                d2.append(_signed(d >> 64))
+                first.append(x[: len(x) - required(len(x), num, den) + 1].tobytes())
+                bits.append(sketch(x))
+                m = [int((x * _MUL[j]).min()) if len(x) else 0 for j in range(2 * KEYS)]
+                mins.append([_signed(m[2 * j] ^ m[2 * j + 1] * 3) for j in range(KEYS)])
+            bits, mins = np.array(bits, np.int64).reshape(-1, WORDS), np.array(mins, np.int64).reshape(-1, KEYS)
+            cols = [b.column(0), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(first, pa.binary())]
+            cols += [pa.array(np.ascontiguousarray(c)) for c in (*mins.T, *bits.T)]
+            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n", "d1", "d2", "first", *keys, *SKETCH])
 
     return run
 
 
-def _neighbours(batches):
-    """Pairs of neighbours with equal key, in a task's sorted rows (key, n, cid)."""
-    last = None
-    for b in batches:
-        k, c = b.column(0).to_numpy(zero_copy_only=False), b.column(2).to_numpy(zero_copy_only=False)
-        if last is not None:
-            k, c = np.concatenate([[last[0]], k]), np.concatenate([[last[1]], c])
-        at = np.flatnonzero((k[1:] == k[:-1]) & (c[1:] != c[:-1]))
-        u, v = np.minimum(c[at], c[at + 1]), np.maximum(c[at], c[at + 1])
-        if len(k):
-            last = (k[-1], c[-1])
-        yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+def _neighbours(num: int, den: int):
+    """Pairs (u, v) in a task's sorted rows (key, n, cid, sketch): a row and the next before it, of the last BEHIND, of equal key whose sketch may agree."""
+
+    def run(batches):
+        tail = None
+        for b in batches:
+            cols = np.stack([b.column(i).to_numpy(zero_copy_only=False) for i in range(3 + WORDS)])
+            if tail is not None:
+                cols = np.concatenate([tail, cols], axis=1)
+            new = cols.shape[1] - b.num_rows
+            k, n, c, bits = cols[0], cols[1], cols[2], cols[3:]
+            partner = np.full(len(k), -1)
+            for o in range(1, min(BEHIND, len(k) - 1) + 1):
+                total = n[o:] + n[:-o]
+                ok = (k[o:] == k[:-o]) & (np.bitwise_count(bits[:, o:] ^ bits[:, :-o]).sum(axis=0) <= most_differing(total, num, den)) & (partner[o:] < 0)
+                at = np.flatnonzero(ok) + o
+                partner[at] = at - o
+            at = np.flatnonzero(partner >= 0)
+            at = at[at >= new]
+            u, v = c[at], c[partner[at]]
+            tail = cols[:, -BEHIND:].copy()
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v), pa.int64()), pa.array(np.maximum(u, v), pa.int64())], ["u", "v"])
+
+    return run
 
 
 def verified(pairs: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
@@ -151,48 +191,47 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> D
 def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row; similarity num / den or more of k-word shingles links."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    feats = materialize(texts.mapInArrow(_features(k, num, den), "doc_id long, n long, d1 long, d2 long, first binary, m1 long, m2 long"), "features")
+    keys = [f"m{i}" for i in range(KEYS)]
+    longs = [*keys, *SKETCH]
+    feats = materialize(texts.mapInArrow(_features(k, num, den), "doc_id long, n long, d1 long, d2 long, first binary, " + ", ".join(f"{c} long" for c in longs)), "features")
     full = feats.where("n > 0 and doc_id is not null")
-    cids = full.groupBy("d1", "d2").agg(F.min("doc_id").alias("cid"), F.count("*").alias("copies"))
-    cids = materialize(cids, "classes")
-    classes = materialize(full.join(cids, (full.doc_id == cids.cid) & (full.d1 == cids.d1) & (full.d2 == cids.d2)).select("cid", "n", "first", "m1", "m2").dropDuplicates(["cid"]), "sets")
-    slim = materialize(feats.select("doc_id", "n", "d1", "d2"), "rows")
-    drop_table(feats)  # the first shingles of a class are kept once
+    cids = materialize(full.groupBy("d1", "d2").agg(F.min("doc_id").alias("cid")), "classes")
+    # one row a class; rows that share a doc_id may hold several sets, all in the one node
+    classes = full.select("doc_id", "n", "d1", "d2", *longs).join(small(cids), (full.doc_id == cids.cid) & (full.d1 == cids.d1) & (full.d2 == cids.d2)).select("cid", "n", full.d1, full.d2, *longs)
+    classes = materialize(classes.dropDuplicates(["cid", "d1", "d2"]).drop("d1", "d2"), "sets")
     n_classes = classes.count()
 
     # neighbours by min-hash: a sound start, what it misses is found below
     near = None
-    for m in ("m1", "m2"):
-        r = classes.select(F.col(m).alias("k"), "n", "cid").repartitionByRange(partitions_for(n_classes, 100_000), "k", "n", "cid").sortWithinPartitions("k", "n", "cid").mapInArrow(_neighbours, "u long, v long")
+    for m in keys:
+        r = classes.select(F.col(m).alias("k"), "n", "cid", *SKETCH).repartitionByRange(partitions_for(n_classes, 100_000), "k", "n", "cid").sortWithinPartitions("k", "n", "cid").mapInArrow(_neighbours(num, den), "u long, v long")
         near = r if near is None else near.unionByName(r)
     near = materialize(near.distinct(), "near")
     first_links = verified(near, texts, k, num, den)
     drop_table(near)
     groups = connected_components(first_links)
 
-    named_groups = small(groups)
-    grouped = classes.join(named_groups, classes.cid == named_groups.node, "left").select("cid", "n", F.coalesce("component", "cid").alias("grp"), "first")
-    pairs = materialize(_candidates(grouped, num, den), "candidates")
+    named = materialize(classes.join(small(groups), classes.cid == groups.node, "left").select("cid", "n", F.coalesce("component", "cid").alias("grp"), *SKETCH), "groups")
     drop_table(classes)
+    grouped = full.select("doc_id", "n", "first").join(small(named.select("cid", "grp").distinct()), F.col("doc_id") == F.col("cid")).select("cid", "n", "grp", "first")
+    pairs = materialize(_candidates(grouped, named.drop("grp"), texts, k, num, den), "candidates")
     second_links = verified(pairs, texts, k, num, den)
     drop_table(pairs)
+    drop_table(named)
     roots = connected_components(first_links.unionByName(second_links))
-    named = cids.join(roots, cids.cid == roots.node, "left").select("d1", "d2", F.coalesce("component", "cid").alias("component_id"))
-    full = slim.where("n > 0 and doc_id is not null")
-    linked = full.select("doc_id", F.col("n").alias("n_shingles"), "d1", "d2").join(named, ["d1", "d2"]).select("doc_id", "n_shingles", "component_id")
-    alone = slim.where("n = 0 or doc_id is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    component = cids.join(small(roots), cids.cid == roots.node, "left").select("d1", "d2", F.coalesce("component", "cid").alias("component_id"))
+    rows = feats.select("doc_id", F.col("n").alias("n_shingles"), "d1", "d2")
+    linked = rows.where("n_shingles > 0 and doc_id is not null").join(component, ["d1", "d2"]).select("doc_id", "n_shingles", "component_id")
+    alone = rows.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone)
 
 
-def _postings(num: int, den: int, stored: bool):
-    """(token, cid, n, grp) of the first n - T + 1 shingles, or of all that are stored."""
+def _postings():
+    """(token, cid, n, grp) of all shingles in a row's prefix."""
 
     def run(batches):
         for b in batches:
-            n = b.column(1).to_numpy(zero_copy_only=False)
             sets = [np.frombuffer(x, np.uint64) for x in b.column(3).to_pylist()]
-            if not stored:
-                sets = [x[: m - required(m, num, den) + 1] for x, m in zip(sets, n.tolist(), strict=True)]
             times = np.array([len(x) for x in sets], np.int64)
             at = np.repeat(np.arange(len(sets)), times)
             flat = (np.concatenate(sets) if sets else np.zeros(0, np.uint64)).view(np.int64)
@@ -202,10 +241,10 @@ def _postings(num: int, den: int, stored: bool):
     return run
 
 
-def _candidates(grouped: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs (u, v) of classes of different groups that share a merged list and fit in size."""
+def _candidates(grouped: DataFrame, sketches: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """Pairs (u, v) of classes of different groups that share a merged list and fit in size and sketch."""
     schema = "token long, cid long, n long, grp long"
-    base = grouped.select("cid", "n", "grp", "first").mapInArrow(_postings(num, den, False), schema)
+    base = grouped.select("cid", "n", "grp", "first").mapInArrow(_postings(), schema)
     lists = base.groupBy("token").agg(F.count("*").alias("c"), F.min("grp").alias("lo"), F.max("grp").alias("hi")).where("c > 1 and lo != hi")
     lists = materialize(lists.select("token", "c"), "lists")
     long = lists.where(F.col("c") > LONG).select("token")
@@ -213,8 +252,19 @@ def _candidates(grouped: DataFrame, num: int, den: int) -> DataFrame:
 
     # documents with a long list among their first choose again, behind all short ones
     again = materialize(shared.where("long").select("cid").distinct(), "again")
-    rows = grouped.join(small(again), "cid", "left_semi")
-    theirs = rows.select("cid", "n", "grp", "first").mapInArrow(_postings(num, den, True), schema).join(long, "token", "left_semi").groupBy("cid").agg(F.collect_list("token").alias("skip"))  # of the stored ones only
+
+
+    def longer(batches):
+        for b in batches:
+            sets = [shingles(t, k) for t in b.column(2).to_pylist()]
+            n = [len(x) for x in sets]
+            first = [x[: 2 * (m - required(m, num, den) + 1) + 16].tobytes() for x, m in zip(sets, n, strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), b.column(1), pa.array(first, pa.binary())], ["cid", "n", "grp", "first"])
+
+    owners = materialize(grouped.select("cid", "grp").distinct().join(small(again), "cid", "left_semi"), "owners")
+    rows = texts.join(small(owners), texts.doc_id == owners.cid).where("text is not null").select("cid", "grp", "text").mapInArrow(longer, "cid long, n long, grp long, first binary")
+    rows = materialize(rows, "longer")
+    theirs = rows.select("cid", "n", "grp", "first").mapInArrow(_postings(), schema).join(long, "token", "left_semi").groupBy("cid").agg(F.collect_list("token").alias("skip"))  # of the stored ones only
 
     def choose(batches):
         for b in batches:
@@ -243,9 +293,12 @@ def _candidates(grouped: DataFrame, num: int, den: int) -> DataFrame:
     new = materialize(chosen, "chosen")
     fresh = materialize(new.where("kind = 0").select("token").distinct().join(lists.select("token"), "token", "left_anti"), "fresh")
     others = base.join(small(fresh), "token", "left_semi").join(again, "cid", "left_anti").select("token", "cid", "n", "grp", F.lit(0).alias("kind"))
-    merged = materialize(kept.unionByName(new).unionByName(others).distinct(), "merged")
+    merged = kept.unionByName(new).unionByName(others).distinct()
+    merged = materialize(merged.join(small(sketches, WORDS), ["cid", "n"]), "merged")
     a, b = merged.alias("a"), merged.alias("b")
     fits = (F.col("a.token") == F.col("b.token")) & (F.col("a.cid") < F.col("b.cid")) & (F.col("a.grp") != F.col("b.grp"))
     fits &= (den * F.least("a.n", "b.n") >= num * F.greatest("a.n", "b.n"))
     fits &= (F.col("a.kind") == 1) | (F.col("b.kind") == 1) | ((F.col("a.kind") == 0) & (F.col("b.kind") == 0))
+    differing = "+".join(f"bit_count(a.{c} ^ b.{c})" for c in SKETCH)
+    fits &= F.expr(f"{differing} <= a.n + b.n - 2 * (({num} * (a.n + b.n) + {num + den - 1}) div {num + den})")
     return a.join(b, fits).select(F.col("a.cid").alias("u"), F.col("b.cid").alias("v")).distinct()
