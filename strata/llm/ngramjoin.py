@@ -14,8 +14,8 @@ is common to both: these posting lists are merged, the rest need not be.
   those lists with all documents that have them among their first.
 * What shares a list, can still reach the size bound and passes the parity
   sketch is a candidate. The sketch of a set has the parity of its shingles in
-  each of BITS cells; sets that differ in d shingles have sketches that differ
-  in d bits at most, so the test, made inside the join, loses no pair.
+  each of 64 * WORDS cells; sets that differ in d shingles have sketches that differ
+  in d bits at most, so the test loses no pair.
 * The shingles outside the merged lists are probed by binary search in the
   sorted set of the other document, and pairs that reach the required overlap
   stay.
@@ -293,12 +293,28 @@ def _candidates(grouped: DataFrame, sketches: DataFrame, texts: DataFrame, k: in
     new = materialize(chosen, "chosen")
     fresh = materialize(new.where("kind = 0").select("token").distinct().join(lists.select("token"), "token", "left_anti"), "fresh")
     others = base.join(small(fresh), "token", "left_semi").join(again, "cid", "left_anti").select("token", "cid", "n", "grp", F.lit(0).alias("kind"))
-    merged = kept.unionByName(new).unionByName(others).distinct()
-    merged = materialize(merged.join(small(sketches, WORDS), ["cid", "n"]), "merged")
-    a, b = merged.alias("a"), merged.alias("b")
-    fits = (F.col("a.token") == F.col("b.token")) & (F.col("a.cid") < F.col("b.cid")) & (F.col("a.grp") != F.col("b.grp"))
-    fits &= (den * F.least("a.n", "b.n") >= num * F.greatest("a.n", "b.n"))
-    fits &= (F.col("a.kind") == 1) | (F.col("b.kind") == 1) | ((F.col("a.kind") == 0) & (F.col("b.kind") == 0))
-    differing = "+".join(f"bit_count(a.{c} ^ b.{c})" for c in SKETCH)
-    fits &= F.expr(f"{differing} <= a.n + b.n - 2 * (({num} * (a.n + b.n) + {num + den - 1}) div {num + den})")
-    return a.join(b, fits).select(F.col("a.cid").alias("u"), F.col("b.cid").alias("v")).distinct()
+    ones = new.where("kind = 1")
+    asked = materialize(ones.select("token").distinct(), "asked")
+    short = kept.unionByName(new.where("kind = 0")).unionByName(others)
+    # one shuffle by token serves both the removal of repeated rows and the join
+    short = short.select("token", "cid", "n", "grp").repartition("token").distinct()
+    pairs = _meet(short, short, num, den, F.col("a.cid") < F.col("b.cid"))
+    # documents that keep long lists meet all that have those among their first
+    whole = kept.unionByName(new).unionByName(others).join(small(asked), "token", "left_semi").select("token", "cid", "n", "grp").distinct()
+    pairs = pairs.unionByName(_meet(ones.select("token", "cid", "n", "grp").distinct(), whole, num, den, F.col("a.cid") != F.col("b.cid")))
+    sketches = small(sketches, WORDS + 2)
+    for side in ("u", "v"):
+        pairs = pairs.join(sketches.select(F.col("cid").alias(side), F.col("n").alias(f"n{side}"), *[F.col(c).alias(f"{side}{c}") for c in SKETCH]), [side, f"n{side}"])
+    differing = "+".join(f"bit_count(u{c} ^ v{c})" for c in SKETCH)
+    near = F.expr(f"{differing} <= nu + nv - 2 * (({num} * (nu + nv) + {num + den - 1}) div {num + den})")
+    return pairs.where(near).select("u", "v").distinct()
+
+
+def _meet(left: DataFrame, right: DataFrame, num: int, den: int, distinct_rows) -> DataFrame:
+    """Pairs (u, nu, v, nv), u < v, of rows of one token and of different groups whose sizes fit."""
+    a, b = left.alias("a"), right.alias("b")
+    fits = (F.col("a.token") == F.col("b.token")) & (F.col("a.grp") != F.col("b.grp")) & distinct_rows
+    fits &= den * F.least("a.n", "b.n") >= num * F.greatest("a.n", "b.n")
+    low, high = F.struct("a.cid", "a.n"), F.struct("b.cid", "b.n")
+    both = a.join(b, fits).select(F.least(low, high).alias("x"), F.greatest(low, high).alias("y"))
+    return both.select(F.col("x.cid").alias("u"), F.col("x.n").alias("nu"), F.col("y.cid").alias("v"), F.col("y.n").alias("nv"))
