@@ -8,13 +8,13 @@ Jensen-Shannon distance (root of the divergence in bits, 0 to 1). A histogram of
 a short text is noise, so each comparison has a minimum length, and the limit of
 the word distance widens with the noise of few words.
 
-Only DataFrame functions are used and nothing is joined: the references are a
-handful of rows (one for each language with a word list and one for the rest)
-and are literals in the verdict.
+Only DataFrame functions are used. The references are a table of one row for each
+value of lang and are joined back by it.
 
-Cases: null or empty text has no words and fails the base rules; a null or
-unknown language is compared by characters only, with all such documents; equal
-rows are judged each; texts are judged whole; columns besides text and lang are
+Cases: null or empty text has no words and fails the base rules; a language
+without a word list is compared by characters only, with its own documents; a
+null or blank language, or one of fewer than MIN_SEEN documents that are long
+enough to be compared, is left to the base rules; equal rows are judged each; texts are judged whole; columns besides text and lang are
 kept as they are (added columns take the place of equally named ones).
 """
 
@@ -25,7 +25,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_table, materialize
+from .common import drop_table, materialize, small
 
 #: Common words by language.
 COMMON_WORDS = {
@@ -43,6 +43,8 @@ MIN_WORDS, MAX_REPEATED, WINDOW = 20, 30, 8
 #: minimum lengths of the comparisons and limits of the distances
 MIN_CHARS, CHAR_LIMIT, CHAR_NOISE = 150, 0.25, 1.0
 MIN_COUNTED, WORD_LIMIT, WORD_NOISE = 20, 0.35, 0.6
+#: documents of MIN_CHARS or more that make a reference of a language
+MIN_SEEN = 10
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -97,30 +99,33 @@ def repeat_words(words: Column) -> Column:
     return let(F.transform(words, lambda w: F.xxhash64(w)), of)
 
 
-def distance(counts: Column, reference: list[float]) -> Column:
-    """Jensen-Shannon distance of a histogram of counts and a reference of shares; null for an empty one."""
+def distance(counts: Column, reference: Column) -> Column:
+    """Jensen-Shannon distance of a histogram of counts and a reference of shares; null for an empty one and without a reference."""
     total = F.aggregate(counts, F.lit(0).cast("long"), lambda a, x: a + x)
     term = lambda a, m: F.when(a > 0, a * F.log2(a / m)).otherwise(F.lit(0.0))
-    parts = lambda n: F.zip_with(F.transform(counts, lambda c: c / n), F.array(*[F.lit(float(r)) for r in reference]), lambda p, q: (term(p, (p + q) / 2) + term(q, (p + q) / 2)) / 2)
-    return let(total, lambda n: F.when(n > 0, F.sqrt(F.greatest(F.lit(0.0), F.aggregate(parts(n), F.lit(0.0), lambda a, x: a + x)))))
+    parts = lambda n: F.zip_with(F.transform(counts, lambda c: c / n), reference, lambda p, q: (term(p, (p + q) / 2) + term(q, (p + q) / 2)) / 2)
+    return let(total, lambda n: F.when((n > 0) & reference.isNotNull(), F.sqrt(F.greatest(F.lit(0.0), F.aggregate(parts(n), F.lit(0.0), lambda a, x: a + x)))))
 
 
 def measured(docs: DataFrame) -> DataFrame:
     """Adds _lang, _m (what is read of the words), _chars and n_dup_lines."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    lang = F.when(F.col("lang").isin(*COMMON_WORDS), F.col("lang")).otherwise(F.lit(""))
+    lang = F.when(F.btrim("lang") != "", F.col("lang"))
     of_words = let(words_of(text), lambda w: F.struct(F.size(w).cast("long").alias("n"), repeat_words(w).cast("long").alias("r"), common_counts(w, lang).alias("c")))
     lines = F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(SPACE)) != "")
     dup = let(lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long"))
     return docs.withColumns({"_lang": lang, "_m": of_words, "_chars": class_counts(text), "n_dup_lines": dup})
 
 
-def references(measures: DataFrame) -> dict[str, tuple[list[float], list[float] | None]]:
-    """Shares of the character classes and of the common words by language, over all documents."""
+def references(measures: DataFrame) -> DataFrame:
+    """(_lang, _ref_chars, _ref_words): shares of the character classes and of the common words, over all documents of each language that is seen MIN_SEEN times."""
     k = 1 + max(map(len, COMMON_WORDS.values()))
-    rows = measures.groupBy("_lang").agg(*[F.sum(F.get("_chars", F.lit(i))).alias(f"c{i}") for i in range(len(CLASSES) + 1)], *[F.sum(F.get("_m.c", F.lit(i))).alias(f"w{i}") for i in range(k)]).collect()  # len(COMMON_WORDS) + 1 at most
-    share = lambda v: [x / max(1, sum(v)) for x in v]
-    return {r["_lang"]: (share([r[f"c{i}"] or 0 for i in range(len(CLASSES) + 1)]), share([r[f"w{i}"] or 0 for i in range(len(COMMON_WORDS[r["_lang"]]) + 1)]) if r["_lang"] else None) for r in rows}
+    total = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda a, x: a + x)
+    share = lambda c: let(total(c), lambda n: F.transform(c, lambda x: x / F.greatest(F.lit(1).cast("long"), n)))
+    sums = lambda c, n: F.array(*[F.sum(F.get(c, F.lit(i))) for i in range(n)])
+    rows = measures.where("_lang is not null").groupBy("_lang").agg(F.count_if(total(F.col("_chars")) >= MIN_CHARS).alias("_seen"), sums("_chars", len(CLASSES) + 1).alias("_c"), sums("_m.c", k).alias("_w"))
+    listed = F.filter("_w", lambda x: x.isNotNull())  # lists may be of unequal length
+    return rows.where(F.col("_seen") >= MIN_SEEN).select("_lang", share(F.col("_c")).alias("_ref_chars"), F.when(F.size(listed) > 0, share(listed)).alias("_ref_words"))
 
 
 def quality_rules(docs: DataFrame, keep_text: bool = True) -> DataFrame:
@@ -129,17 +134,15 @@ def quality_rules(docs: DataFrame, keep_text: bool = True) -> DataFrame:
     m = measured(docs.drop(*added))
     slim = materialize(m.select("_lang", "_m", "_chars") if keep_text else m.drop("text"), "measures")
     total = F.aggregate("_chars", F.lit(0).cast("long"), lambda a, x: a + x)
-    chars = words = F.when(F.lit(False), F.lit(0.0))
-    for k, (c, w) in references(slim).items():
-        chars = chars.when(F.col("_lang") == k, distance(F.col("_chars"), c))
-        if w:
-            words = words.when(F.col("_lang") == k, distance(F.col("_m.c"), w))
+    shares = materialize(references(slim), "references")
     if keep_text:
         drop_table(slim)
     else:
         m = slim
+    m = m.join(small(shares, len(CLASSES) + 1 + max(map(len, COMMON_WORDS.values()))), "_lang", "left")
+    chars, words = distance(F.col("_chars"), F.col("_ref_chars")), distance(F.col("_m.c"), F.col("_ref_words"))
     m = m.withColumns({"n_words": F.col("_m.n"), "n_repeat_words": F.col("_m.r"), "n_symbols": F.get("_chars", F.lit(CLASSES.index(SYMBOLS)))})
     m = m.withColumns({"word_chars": total - F.get("_chars", F.lit(CLASSES.index(SPACE))), "_total": total, "char_distance": chars, "word_distance": words})
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     strange = F.coalesce((F.col("_total") >= MIN_CHARS) & (F.col("char_distance") > CHAR_LIMIT + CHAR_NOISE / F.sqrt("_total")), F.lit(False)) | F.coalesce((F.col("n_words") >= MIN_COUNTED) & (F.col("word_distance") > WORD_LIMIT + WORD_NOISE / F.sqrt("n_words")), F.lit(False))
-    return m.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & ~strange).drop("_lang", "_m", "_chars", "_total")
+    return m.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & ~strange).drop("_lang", "_m", "_chars", "_total", "_ref_chars", "_ref_words")

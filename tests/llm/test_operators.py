@@ -199,6 +199,24 @@ def test_quality_separates(spark, docs):
     assert got[1, False] <= 0.02 * (got[1, True] + 1) and got[0, False] >= got[0, True] * 0.5
 
 
+@pytest.mark.parametrize("share", [2, 10])
+def test_quality_of_other_languages(spark, share):
+    r = np.random.default_rng(8)
+
+    def text(letters):
+        return " ".join("".join(r.choice(list(letters), int(r.integers(2, 9)))) for _ in range(170))
+
+    latin, cyrillic, greek = "abcdefghijklmnoprstuwyz", "абвгдежзийклмнопрстуфхцчшыэюя", "αβγδεζηθικλμνξοπρστυφχψω"
+    rows = [(i, text(latin), "pl") if i % share else (i, text(cyrillic), "ru") for i in range(200)]
+    rows += [(1000 + i, text(greek if i % 2 else latin), None if i < 20 else " " if i < 40 else "el") for i in range(44)]  # no language, or rarely seen
+    rows += [(2000, "#" * 2000 + " " + text(latin), "pl"), (2001, text(latin), "ru")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for keep_text in (True, False):
+        out = {x.doc_id: x for x in quality.quality_rules(df, keep_text).collect()}
+        assert len(out) == len(rows) and {d for d, x in out.items() if not x.kept} == {2000, 2001}
+        assert all((x.char_distance is None) == (1000 <= d < 2000) and x.word_distance is None for d, x in out.items())
+
+
 def brute_vectors(v, t):
     ok = [x is not None and len(x) > 0 and None not in x and np.isfinite(x).all() and np.any(x) for x in v]
     n, root = [0] * len(v), list(range(len(v)))
