@@ -34,7 +34,8 @@ ROUNDS = 10
 LONG = 256
 LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 
-_FIRST = re.compile("[0-9@=]|IBAN|AKIA")
+#: every match of _FIND holds one of these
+_FIRST = re.compile("[0-9@=:]|AKIA|ASIA")
 _FIND = re.compile(
     r"""(?P<email>(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}(?![A-Za-z0-9-]))
 |(?P<secret>(?<![A-Za-z])(?:password|passwd|pwd|token|secret|api[_-]?key|access[_-]?key)["']?[ ]{0,3}[=:][ ]{0,3}["']?(?P<value>[A-Za-z0-9+/_.-]{6,200}))
