@@ -3,7 +3,7 @@
 Found and validated: e-mail addresses, IPv4 addresses, payment cards (Luhn),
 IBANs (mod 97), social security numbers (area, group, serial), phone numbers,
 calendar dates and secrets (values of password, token, key or secret
-assignments, and access key ids). Each is replaced by its image under a keyed
+assignments in any case, up to the closing quote or white space, and access key ids). Each is replaced by its image under a keyed
 permutation of the values of its own format: cards stay Luhn-valid, IBANs keep
 their checksum, dates stay dates, layout and punctuation stay. As the
 permutation depends on key, kind and size alone, equal values have equal
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import array
 import datetime
+import functools
 import hashlib
 import re
 import struct
@@ -38,18 +39,28 @@ LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ
 _FIRST = re.compile("[0-9@=:]|AKIA|ASIA")
 _FIND = re.compile(
     r"""(?P<email>(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}(?![A-Za-z0-9-]))
-|(?P<secret>(?<![A-Za-z])(?:password|passwd|pwd|token|secret|api[_-]?key|access[_-]?key)["']?[ ]{0,3}[=:][ ]{0,3}["']?(?P<value>[A-Za-z0-9+/_.-]{6,200}))
+|(?P<secret>(?<![A-Za-z])(?i:password|passwd|pwd|token|secret|api[_-]?key|access[_-]?key)["']?[ ]{0,3}[=:][ ]{0,3}["']?(?P<value>(?<=")(?:\\.|[^"\\\r\n]){6,}(?=")|(?<=')(?:\\.|[^'\\\r\n]){6,}(?=')|(?=[^\s"']{6})[^\s"']*[^\W_]))
 |(?P<access>(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9]))
 |(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))
 |(?P<date>(?<![0-9A-Za-z./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}(?P<sep>[./])[0-9]{1,2}(?P=sep)[0-9]{4})(?![0-9A-Za-z/-]|\.[0-9]))
 |(?P<ip>(?<![0-9A-Za-z.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z]|\.[0-9]))
 |(?P<ssn>(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-]))
 |(?P<card>(?<![0-9A-Za-z.+-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z]))
-|(?P<phone>(?<![0-9A-Za-z.])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-][0-9]{2,4}){1,4}(?![0-9A-Za-z]))""",
+|(?P<phone>(?<![0-9A-Za-z.])(?:[0-9]{10,12}(?!\.[0-9])|(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,5}\)[ .-]?)?|\([0-9]{2,5}\)[ .-]?)[0-9]{2,14}(?:[ .-][0-9]{2,8}){0,4}|[0-9]{2,5}(?:[ -][0-9]{2,5}|\.[0-9]{2,4}){1,4})(?![0-9A-Za-z]))""",
     re.VERBOSE,
 )
 
 
+@functools.lru_cache(maxsize=10_000)
+def alphabet(c: str) -> str:
+    """The characters that may stand for c: digits, letters of its case, or, beyond ASCII, those of its kind among the 256 code points around it; none where c stays."""
+    if c.isascii():
+        return next((a for a in (LOWER, UPPER, DIGITS) if c in a), "")
+    of = lambda x: (x.isalpha(), x.islower(), x.isupper(), x.isspace())
+    first = ord(c) & ~255
+    return "".join(x for x in map(chr, range(max(first, 128), first + 256)) if x.isalnum() and of(x) == of(c)) if c.isalnum() else ""
+
+
 class Feistel:
     """Keyed permutations of [0, n), of digit and letter strings."""
 
@@ -106,19 +117,16 @@ class Feistel:
     def text(self, s: str, kind: str) -> str:
         """Letters and digits of s permuted as one number over their own classes; all other characters stay."""
         if len(s) > LONG:
-            of = [next((a for a in (LOWER, UPPER, DIGITS) if c in a), "") for c in s]
+            of = [alphabet(c) for c in s]
             new = iter(self.digits([a.index(c) for c, a in zip(s, of, strict=True) if a], [len(a) for a in of if a], kind))
             return "".join(a[next(new)] if a else c for c, a in zip(s, of, strict=True))
         size, value = 1, 0
         for c in s:
-            k = 10 if c in DIGITS else 26 if c in LOWER or c in UPPER else 1
-            base = DIGITS if k == 10 else LOWER if c in LOWER else UPPER
-            if k > 1:
-                value, size = value * k + base.index(c), size * k
+            if base := alphabet(c):
+                value, size = value * len(base) + base.index(c), size * len(base)
         y, out = self.number(value, size, kind), []
         for c in reversed(s):
-            base = DIGITS if c in DIGITS else LOWER if c in LOWER else UPPER if c in UPPER else ""
-            if base:
+            if base := alphabet(c):
                 y, d = divmod(y, len(base))
                 out.append(base[d])
             else:

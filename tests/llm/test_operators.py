@@ -385,3 +385,32 @@ def test_pii_without_digits(line):
     assert len(alone[1]) == 1 and alone[1] == beside[1] and alone[0] + " 7" == beside[0]
     (_, a, b), text = alone[1][0], f"see {line} here"
     assert text[a:b] not in alone[0]
+
+
+@pytest.mark.parametrize("value", ["eyJ" + "aB3_x-Z9." * 100 + "q7", "Secret12!xyz", "a1" * 4000, "Пароль12!где", "x$y%z^1&2*3"])
+@pytest.mark.parametrize("form", ["Password: {}", "API_KEY={} and more", 'TOKEN = "{}", next', "{{'secret': '{}'}}", "access-key={}."])
+def test_whole_secrets(value, form):
+    f, text = pii.Feistel(b"k"), form.format(value)
+    got, spans = pii.replace(text, f)
+    at = text.index(value)
+    assert spans == [("secret", at, at + len(value))] and got[:at] == text[:at] and got[at + len(value) :] == text[at + len(value) :]
+    new = got[at : at + len(value)]
+    assert new == pii.replace(f"pwd={value}", f)[0][4:]  # equal values are linked
+    for i in range(0, len(value), 32):
+        part = [(a, b) for a, b in zip(value[i : i + 32], new[i : i + 32], strict=True) if a.isalnum()]
+        assert not part or sum(a == b for a, b in part) <= max(2, len(part) // 2)
+    assert pii.replace(got, pii.Feistel(b"k", forward=False))[0] == text
+
+
+def test_secret_in_quotes_and_short_ones():
+    f = pii.Feistel(b"k")
+    assert [text[a:b] for text in ['password="abc" and user="bob smith"', 'password: "correct horse 7" x', "no password: abc"] for _, a, b in pii.replace(text, f)[1]] == ["correct horse 7"]
+
+
+@pytest.mark.parametrize("phone", ["+14155550123", "4155550123", "+91 98765 43210", "98765 43210", "+1 4155550123", "(415) 5550123", "+49 151 12345678", "+1 (415) 555-0123"])
+def test_phones(phone):
+    f, text = pii.Feistel(b"k"), f"call {phone}, now"
+    got, spans = pii.replace(text, f)
+    assert spans == [("phone", 5, 5 + len(phone))] and phone not in got and pii.replace(got, pii.Feistel(b"k", forward=False))[0] == text
+    assert pii.replace("call +14155550123", f)[0][-10:] == pii.replace("call (415) 555-0123", f)[0].translate({ord(c): None for c in "() -"})[-10:]
+    assert not pii.replace("of 4155550123.25 or 12345.67890 or 98765-4321", f)[1]
