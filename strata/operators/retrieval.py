@@ -10,6 +10,8 @@ from ..functions.entities import entity_sets, overlap
 from ..functions.text import index_text, query_text
 
 POOL, BLEND, RERANK = 100, (0.5, 0.5), (0.7, 0.3)
+#: events (a few longs each) that are broadcast; of more, the events of a block
+EVENT_BLOCK = 10_000
 WORD = r"(?U)\b\w\w+\b"
 KEYWORD = r"(?U)\b[a-zA-Z][a-zA-Z\-]{2,}\b"
 
@@ -66,14 +68,25 @@ def top_keywords(docs: DataFrame, key: str, text: str, n: int, top: int = 10, le
 
 
 def scope(events: DataFrame, ops: DataFrame, fallback_on_empty: bool = False) -> DataFrame:
-    """(event_id, op_id) candidates: a well's own operations, or all for an event whose well has no reports. events is a short list and is broadcast by Spark when its measured size allows."""
+    """(event_id, op_id) candidates: a well's own operations, or all for an event whose well has no reports."""
     own = events.where("has_pdf_corpus").select("event_id", "well_family").join(ops.select("op_id", "well_family"), "well_family").select("event_id", "op_id")
     free = events.where("not has_pdf_corpus")
     if fallback_on_empty:
         free = free.unionByName(events.where("has_pdf_corpus").join(ops.select("well_family").distinct(), "well_family", "left_anti").select(*events.columns))
-    # a stated list of events against all operations: an equi-join on a constant key dealt by the operations' own partitions
-    everyone = ops.select("op_id", F.lit(1).alias("_one")).join(F.broadcast(free.limit(10_000).select("event_id", F.lit(1).alias("_one"))), "_one").select("event_id", "op_id")
-    return own.unionByName(everyone)
+    return own.unionByName(every_pair(free.select("event_id"), ops.select("op_id")))
+
+
+def every_pair(events: DataFrame, ops: DataFrame) -> DataFrame:
+    """(event_id, op_id) of all events with all operations: a counted short list is broadcast, a longer one is dealt into blocks that meet parts of the operations."""
+    n = events.count()
+    if n <= EVENT_BLOCK:  # an equi-join on a constant key dealt by the operations' own partitions
+        return ops.withColumn("_one", F.lit(1)).join(F.broadcast(events.withColumn("_one", F.lit(1))), "_one").select("event_id", "op_id")
+    blocks, parts = -(-n // EVENT_BLOCK), int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = lambda c, k: F.pmod(F.xxhash64(c), F.lit(k)).cast("int")
+    every = lambda k: F.explode(F.sequence(F.lit(0), F.lit(k - 1)))
+    left = events.select("event_id", dealt("event_id", blocks).alias("_block"), every(parts).alias("_part"))
+    right = ops.select("op_id", dealt("op_id", parts).alias("_part"), every(blocks).alias("_block"))
+    return right.join(left, ["_block", "_part"]).select("event_id", "op_id")
 
 
 def sparse_scores(events: DataFrame, ops: DataFrame, candidates: DataFrame, n: int) -> DataFrame:
