@@ -414,3 +414,26 @@ def test_phones(phone):
     assert spans == [("phone", 5, 5 + len(phone))] and phone not in got and pii.replace(got, pii.Feistel(b"k", forward=False))[0] == text
     assert pii.replace("call +14155550123", f)[0][-10:] == pii.replace("call (415) 555-0123", f)[0].translate({ord(c): None for c in "() -"})[-10:]
     assert not pii.replace("of 4155550123.25 or 12345.67890 or 98765-4321", f)[1]
+
+
+def test_hilbert_tells_long_strings_apart(spark, tmp_path):
+    rows = [(i * 16 + k, f"text {i:04d}", "en", f"https://www.example.org/source_{k:04d}", 9) for i in range(30) for k in range(16)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(5)
+    out = hilbert.shard(df, 16).join(df.select("doc_id", "source"), "doc_id").collect()
+    assert len({(r.shard, r.source) for r in out}) == 16 == len({r.hilbert for r in out})
+    hilbert.write_shards(df, str(tmp_path / "s"), 16)
+    got = spark.read.parquet(str(tmp_path / "s"))
+    assert sorted(map(tuple, got.select(*df.columns).collect())) == sorted(rows)
+    assert got.groupBy("shard").agg(F.countDistinct("source").alias("k"), F.count("*").alias("n")).where("k <> 1 or n <> 30").count() == 0
+
+
+@pytest.mark.parametrize("table", ["odd", "docs", "none"])
+def test_hilbert_writes_documents(request, table, tmp_path):
+    df = request.getfixturevalue(table).drop("size")
+    hilbert.write_shards(df, str(tmp_path / "s"), 5)
+    if table == "none":
+        return
+    got = df.sparkSession.read.parquet(str(tmp_path / "s"))
+    assert Counter(map(tuple, got.select(*df.columns).collect())) == Counter(map(tuple, df.collect()))
+    assert all((r.size, r.text_crc32) == (len((r.text or "").encode()) + 8, zlib.crc32((r.text or "").encode())) for r in got.collect())
+    assert len({(r.shard, r.slot) for r in got.collect()}) == df.count()
