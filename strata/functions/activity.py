@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .convert import let
+
 # fixed values: label, pattern between word boundaries (any case), priority
 RULES = [
     ("WELL_CONTROL", r"\b(?:kick|influx|well\s*control|shut\s*in|kill\s*operation|gas\s*alarm)\b", 90),
@@ -51,8 +53,8 @@ OTHER = "OTHER"
 def all_labels(remark: Column) -> Column:
     """Every label that fires, highest priority first, in the rules' order within one; [OTHER] if none does or the remark is null or empty."""
     ordered = sorted(RULES, key=lambda r: -r[2])
-    found = F.array_compact(F.array(*[F.when(remark.rlike("(?i)" + p), F.lit(label)) for label, p, _ in ordered]))
-    return F.when(F.size(found) > 0, found).otherwise(F.array(F.lit(OTHER)))
+    found = let(remark, lambda r: F.array_compact(F.array(*[F.when(r.rlike("(?i)" + p), F.lit(label)) for label, p, _ in ordered])))
+    return let(found, lambda f: F.when(F.size(f) > 0, f).otherwise(F.array(F.lit(OTHER))))
 
 
 def labels(found: Column, most: int = 3) -> Column:
@@ -65,6 +67,5 @@ def severity(remark: Column, found: Column, state: Column) -> Column:
     by_label = F.transform(F.filter(labels(found, 5), lambda x: x.isin(list(WEIGHTS))), lambda x: F.struct(weights[x].alias("w"), F.concat(x, F.lit("(+"), weights[x].cast("string"), F.lit(")")).alias("t")))
     by_text = F.array_compact(F.array(*[F.when(remark.rlike("(?i)" + p), F.struct(F.lit(w).alias("w"), F.lit(f"text:{name}(+{w})").alias("t"))) for p, w, name in SIGNALS]))
     by_state = F.array_compact(F.array(F.when(F.lower(state) == "fail", F.struct(F.lit(FAIL_STATE).alias("w"), F.lit(f"state:fail(+{FAIL_STATE})").alias("t")))))
-    parts = F.concat(by_label, by_text, by_state)
-    scored = F.struct(F.aggregate(parts, F.lit(0), lambda a, x: a + x["w"]).alias("score"), F.array_join(F.transform(parts, lambda x: x["t"]), "|").alias("contributors"))
+    scored = let(F.concat(by_label, by_text, by_state), lambda parts: F.struct(F.aggregate(parts, F.lit(0), lambda a, x: a + x["w"]).alias("score"), F.array_join(F.transform(parts, lambda x: x["t"]), "|").alias("contributors")))
     return F.when(F.coalesce(remark, F.lit("")) != "", scored).otherwise(F.struct(F.lit(0).alias("score"), F.lit("").alias("contributors")))

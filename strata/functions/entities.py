@@ -35,6 +35,7 @@ def _any(words: list[str]) -> str:
     return "|".join(_literal(w) for w in sorted(words, key=len, reverse=True))
 
 
+# fixed values: layouts of sizes, depths, measurements and times
 INCH = r"""(?i)(?<![A-Za-z0-9])(\d{1,3})(?:\s+(\d{1,3})\s*[/-]\s*(\d{1,3})|[.,](\d{1,3}))?\s*(?:"|''|\s*in(?:ch(?:es)?)?\b)"""
 DEPTH = r"(?i)(?<![A-Za-z0-9])(\d{1,5}(?:[.,]\d{1,3})?)\s*(m\s*MD|mMD|m\s*TVD|mTVD|m)\b"
 MEASUREMENT = rf"(?i)(?<![A-Za-z0-9.])(-?\d{{1,6}}(?:[.,]\d{{1,3}})?)\s*({_any(UNITS)})\b"
@@ -57,7 +58,8 @@ def spans(text: Column, pattern: str) -> Column:
         return F.struct(b.alias("at"), F.concat(acc["out"], F.array(F.struct(x["m"].alias("s"), a.alias("a"), b.alias("b")))).alias("out"))
 
     pairs = let(F.split(text, pattern, -1), lambda between: F.transform(found, lambda m, i: F.struct(m.alias("m"), F.get(between, i).alias("p"))))
-    return F.aggregate(pairs, start, step, lambda acc: acc["out"])
+    # most patterns match nothing in most texts
+    return F.when(text.rlike(pattern), F.aggregate(pairs, start, step, lambda acc: acc["out"])).otherwise(F.slice(F.array(F.struct(F.lit("").alias("s"), F.lit(0).alias("a"), F.lit(0).alias("b"))), 1, 0))
 
 
 def _number(c: Column) -> Column:

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .convert import strip
+from .convert import let, strip
 
 # fixed values: abbreviations and their long forms
 ABBREVIATIONS = {
@@ -89,12 +89,18 @@ def normalize_report(c: Column) -> Column:
     return join_split_words(collapse_doubled_words(F.regexp_replace(c, "::+", ":")))
 
 
+def _abbreviation_pattern() -> str:
+    words = "|".join(_literal(a) for a in sorted(ABBREVIATIONS, key=len, reverse=True) if a.isalnum())
+    signs = "|".join(_literal(a) for a in sorted(ABBREVIATIONS, key=len, reverse=True) if not a.isalnum())
+    return rf"(?i)\b(?:{words})\b|(?<![A-Za-z0-9])(?:{signs})(?![A-Za-z0-9])"
+
+
 def expand_abbreviations(c: Column) -> Column:
-    """Each abbreviation, any case, becomes its usual form with the long form in parentheses; longest first."""
-    for short, long in sorted(ABBREVIATIONS.items(), key=lambda kv: -len(kv[0])):
-        edge = (r"\b", r"\b") if short.isalnum() else ("(?<![A-Za-z0-9])", "(?![A-Za-z0-9])")
-        c = F.regexp_replace(c, f"(?i){edge[0]}{_literal(short)}{edge[1]}", f"{short} ({long})")
-    return c
+    """Each abbreviation, any case, becomes its usual form with the long form in parentheses. One scan: no abbreviation is a part of another's match, and no long form holds one."""
+    pattern = _abbreviation_pattern()
+    long = F.create_map(*[F.lit(x) for short, form in ABBREVIATIONS.items() for x in (short.lower(), f"{short} ({form})")])
+    joined = lambda t: let(F.regexp_extract_all(t, F.lit(pattern), F.lit(0)), lambda found: let(F.split(t, pattern, -1), lambda between: F.array_join(F.transform(between, lambda p, i: F.concat(p, F.coalesce(long[F.lower(F.get(found, i))], F.lit("")))), "")))
+    return let(c, lambda t: F.when(t.rlike(pattern), joined(t)).otherwise(t))
 
 
 def clean_query(c: Column) -> Column:
@@ -122,6 +128,7 @@ def family_of(prefix: Column) -> Column:
     return F.coalesce(F.create_map(*[F.lit(x) for kv in WELL_FAMILIES.items() for x in kv])[prefix], prefix)
 
 
+# fixed value: layout of a report's file name
 FILENAME = r"(?i)^(15_9_(?:F_)?\d+(?:_[A-Z]+\d*)?)_(\d{4})_(\d{2})_(\d{2})\.pdf$"
 
 

@@ -9,8 +9,8 @@ from ..functions.activity import FAILURES, all_labels, labels, severity
 
 
 def tagged(ops: DataFrame) -> DataFrame:
-    """ops with found: all labels of the remark; every use below takes a slice of it, so the rules run once a row."""
-    return ops.withColumn("found", all_labels(F.col("remark")))
+    """ops with found: all labels of the remark. It comes out of a generator of one row, which no later step is folded into: the rules run once a row, however often found is used."""
+    return ops.select("*", F.explode(F.array(all_labels(F.col("remark")))).alias("found"))
 
 
 def activity_tags(ops: DataFrame, most: int = 3) -> DataFrame:
@@ -29,7 +29,9 @@ def failure_patterns(ops: DataFrame, top: int = 10, least: int = 2, samples: int
 
 
 def severity_scores(ops: DataFrame, least: int = 5) -> DataFrame:
-    scored = tagged(ops).withColumn("_s", severity(F.col("remark"), F.col("found"), F.col("state"))).where(F.col("_s.score") >= least)
+    of = severity(F.col("remark"), F.col("found"), F.col("state"))
+    # the generator filters: a predicate on a column would be computed apart from it
+    scored = tagged(ops).select("*", F.explode(F.filter(F.array(of), lambda s: s["score"] >= least)).alias("_s"))
     return scored.select("op_id", "well_family", "pdf_path", "report_date", "start_time", "end_depth_md", "main_activity", "sub_activity", "state", F.col("_s.score").alias("severity_score"), F.col("_s.contributors").alias("severity_contributors"), "remark").orderBy(F.desc("severity_score"), "op_id")
 
 
@@ -112,3 +114,26 @@ def keywords_per_well(keywords: DataFrame, top: int = 20) -> DataFrame:
 
 def entity_rows(ops: DataFrame, entities: Column) -> DataFrame:
     return ops.select("op_id", "pdf_path", "well_family", "report_date", F.explode(entities).alias("e")).select("op_id", "pdf_path", "well_family", "report_date", F.col("e.text").alias("entity_text"), F.col("e.label").alias("entity_label"), F.col("e.value").alias("entity_value"), F.col("e.unit").alias("entity_unit"), F.col("e.char_start").alias("char_start"), F.col("e.char_end").alias("char_end"))
+
+
+def run_summary(tables: dict[str, DataFrame], counts: dict[str, int] | None = None) -> DataFrame:
+    """One row: n_<name> for each table of a run, and the given figures."""
+    some = next(iter(tables.values())).sparkSession
+    out = some.range(1).select(*[F.lit(v).cast("long").alias(k) for k, v in (counts or {}).items()])
+    for name, t in tables.items():
+        out = out.join(t.agg(F.count("*").alias(f"n_{name}")))  # one row each
+    return out
+
+
+def matching_summary(events: DataFrame, matches: DataFrame, benchmark: DataFrame, methods: int = 4, top: int = 5) -> DataFrame:
+    """One row on a matching run: events by scope, match rows, and how many events all methods agree on."""
+    e = events.agg(F.count("*").alias("n_events"), F.count_if("has_pdf_corpus").alias("n_strict_events"), F.count_if(~F.col("has_pdf_corpus")).alias("n_fallback_events"))
+    b = benchmark.agg(F.count("*").alias("n_benchmark_rows"), F.count_if("all_methods_agree").alias("all_methods_agree"))
+    return e.join(matches.agg(F.count("*").alias("n_match_rows"))).join(b).select("*", F.lit(methods).alias("n_methods"), F.lit(top).alias("top_k"))
+
+
+def sample_rows(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
+    """All rows of n keys drawn at random (by a seeded hash, so that a run can be repeated), or the first n keys in order with seed None. Only the keys are sorted."""
+    keys = df.select(key).distinct()
+    order = [key] if seed is None else [F.xxhash64(F.lit(seed), key), key]
+    return df.join(F.broadcast(keys.orderBy(*order).limit(n)), key, "left_semi")

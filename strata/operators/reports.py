@@ -7,11 +7,12 @@ posexplode()d from arrays of structs.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.convert import as_bool, as_date, as_double, as_int, as_text, as_timestamp, let, strip
 from ..functions.text import _literal
+from ..sources.scratch import materialize
 
 # fixed values: section headings in the order of a report
 HEADINGS = [
@@ -52,6 +53,7 @@ FLUID = [
     ("funnel_visc_s", r"Funnel Visc \(s\)", True), ("plastic_visc_mpas", r"Plastic visc\. \(mPa\.s\)", True),
     ("yield_point_pa", r"Yield point \(Pa\)", True), ("test_temp_hpht_degc", r"Test Temp HPHT \(degC\)", True),
 ]
+# fixed values: layouts of the sections' rows
 NUMBER = r"\d+(?:\.\d+)?"
 FOUR = rf"{NUMBER}\s+{NUMBER}\s+{NUMBER}\s+{NUMBER}"
 OPERATION = r"(?s)(\d{2}:\d{2})\s+(\d{2}:\d{2})\s+(-?\d+(?:\.\d+)?)\s+(.+?)(?=\s+\d{2}:\d{2}\s+\d{2}:\d{2}\s+-?\d+(?:\.\d+)?\s+|\Z)"
@@ -63,11 +65,10 @@ GAS = r"(?i)(\d{2}:\d{2})\s+((?:drilling\s+gas|connection\s+gas|trip\s+gas|backg
 
 def section(text: Column, heading: str) -> Column:
     """What lies between the first place of a heading and the nearest other heading after it; null without it."""
-    at = F.locate(heading, text)
-    rest = F.substring(text, at + len(heading), F.length(text))
-    ends = [F.nullif(F.locate(h, rest), F.lit(0)) for h in HEADINGS if h != heading]
-    end = F.coalesce(F.least(*ends), F.length(rest) + 1)
-    return F.when(at > 0, strip(F.substring(rest, F.lit(1), end - 1)))
+    nearest = lambda rest: F.least(*[F.nullif(F.locate(h, rest), F.lit(0)) for h in HEADINGS if h != heading])
+    upto = lambda rest: let(nearest(rest), lambda end: F.when(end.isNull(), rest).otherwise(F.substring(rest, F.lit(1), end - 1)))
+    after = lambda at: F.when(at > 0, strip(let(F.substring(text, at + len(heading), F.length(text)), upto)))
+    return let(F.locate(heading, text), after)
 
 
 def _group(s: Column, pattern: str, i: int) -> Column:
@@ -121,6 +122,7 @@ def _read(kind: str):
     return lambda p: _AS[kind](p["v"])
 
 
+# fixed value: layout of a period
 PERIOD = r"\A(\d{4}-\d{2}-\d{2}(?:\s+\d{2}:\d{2})?)\s*-\s*(\d{4}-\d{2}-\d{2}(?:\s+\d{2}:\d{2})?)"
 
 
@@ -128,19 +130,21 @@ def operations(text: Column) -> Column:
     rows = F.regexp_extract_all(section(text, "Operations"), F.lit(OPERATION), F.lit(0))
     state_at = r"(?is)\A(.*?)\s+(ok|fail|n/a)\s+(.*)\Z"
 
+    blank = lambda c: F.nullif(strip(c), F.lit(""))
+
+    def said(body: Column, start: Column, end: Column, depth: Column) -> Column:
+        """One match tells activity, state and remark apart."""
+        parts = F.when(body.rlike(state_at), F.split(F.regexp_replace(body, state_at, "$1\u0001$2\u0001$3"), "\u0001", 3))
+        return let(parts, lambda p: named(body, p, F.split(strip(F.get(p, F.lit(0))), r"\s+-{1,2}\s+", 2), start, end, depth))
+
+    def named(body, p, activity, start, end, depth):
+        values = F.struct(blank(F.get(activity, F.lit(0))).alias("main"), blank(F.get(activity, F.lit(1))).alias("sub"), F.lower(F.get(p, F.lit(1))).alias("state"), blank(F.when(p.isNotNull(), F.get(p, F.lit(2))).otherwise(body)).alias("remark"))
+        return let(values, lambda v: F.struct(start.alias("start_time"), end.alias("end_time"), depth.alias("end_depth_md"), v["main"].alias("main_activity"), v["sub"].alias("sub_activity"), v["state"].alias("state"), v["remark"].alias("remark"), F.concat_ws(" | ", v["main"], v["sub"], v["state"], v["remark"]).alias("op_text")))
+
     def row(s: Column) -> Column:
-        body = strip(F.regexp_replace(_group(s, OPERATION, 4), r"\s+", " "))
-        stated = body.rlike(state_at)
-        activity = F.when(stated, strip(_group(body, state_at, 1)))
-        parts = F.split(activity, r"\s+-{1,2}\s+", 2)
-        blank = lambda c: F.nullif(strip(c), F.lit(""))
-        main, sub = blank(F.get(parts, F.lit(0))), blank(F.get(parts, F.lit(1)))
-        state = F.when(stated, F.lower(_group(body, state_at, 2)))
-        remark = blank(F.when(stated, _group(body, state_at, 3)).otherwise(body))
-        return F.struct(
-            _group(s, OPERATION, 1).alias("start_time"), _group(s, OPERATION, 2).alias("end_time"), as_double(_group(s, OPERATION, 3)).alias("end_depth_md"),
-            main.alias("main_activity"), sub.alias("sub_activity"), state.alias("state"), remark.alias("remark"), F.concat_ws(" | ", main, sub, state, remark).alias("op_text"),
-        )
+        # the row is a match of its own: its fields are told by white space alone, without the look ahead
+        fields = F.split(s, r"\s+", 4)
+        return let(fields, lambda f: let(strip(F.regexp_replace(F.get(f, F.lit(3)), r"\s+", " ")), lambda body: said(body, F.get(f, F.lit(0)), F.get(f, F.lit(1)), as_double(F.get(f, F.lit(2))))))
 
     return F.transform(rows, row)
 
@@ -205,20 +209,24 @@ def parse_reports(files: DataFrame) -> DataFrame:
     base = base.withColumns({"well_prefix": F.col("_f.prefix"), "well_family": F.col("_f.family"), "report_date": F.col("_f.report_date")}).drop("_f")
     base = base.withColumns({"summary_24h": as_text(section(text, "Summary of activities (24 Hours)")), "planned_24h": as_text(section(text, "Summary of planned activities (24 Hours)"))})
     base = base.withColumns({n: f(text) for n, (f, _, _) in CHILDREN.items()})
-    return base.withColumn("parse_quality", F.when(F.col("wellbore_id").isNotNull() & (F.size("operations") > 0), "full").when(F.col("wellbore_id").isNotNull(), "partial").otherwise("header_only"))
+    some = F.coalesce(section(text, "Operations").rlike(OPERATION), F.lit(False))  # one match will do
+    return base.withColumn("parse_quality", F.when(F.col("wellbore_id").isNotNull() & some, "full").when(F.col("wellbore_id").isNotNull(), "partial").otherwise("header_only"))
 
 
 def child_table(parsed: DataFrame, name: str) -> DataFrame:
-    """Rows of a child table with the report's path, family (and prefix and date for operations) and a surrogate id from 1 on in order of path and position. Ids come from a running count over reports, which are few beside their rows."""
-    from pyspark.sql import Window
-
+    """Rows of a child table with the report's path, family (and prefix and date for operations) and a surrogate id from 1 on in order of path and position. The parsed rows are written once and read twice: for the running count over reports, and for the rows."""
     _, place, key = CHILDREN[name]
     carried = ["pdf_path", "well_family"] + (["well_prefix", "report_date"] if name == "operations" else [])
-    counts = parsed.select("pdf_path", F.greatest(F.lit(0), F.coalesce(F.size(name), F.lit(0))).alias("_n"))
-    # two levels, so that no task numbers all reports: reports of a bucket of path, then buckets
-    spread = counts.withColumn("_b", F.substring("pdf_path", 1, 64)).groupBy("_b").agg(F.sum("_n").alias("_t"))
-    first = spread.select("_b", F.coalesce(F.sum("_t").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"))
-    inner = Window.partitionBy("_b").orderBy("pdf_path").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_b", F.substring("pdf_path", 1, 64)).withColumn("_in", F.coalesce(F.sum("_n").over(inner), F.lit(0))).join(first, "_b").select("pdf_path", (F.col("_base") + F.col("_in")).alias("_offset"))
-    rows = parsed.select(*carried, F.posexplode(name).alias(place, "_r")).join(offsets, "pdf_path")
+    parsed = materialize(parsed.select(*carried, name), name.replace("_", "-"))
+    counts = parsed.select("pdf_path", F.greatest(F.lit(0), F.coalesce(F.size(name), F.lit(0))).cast("long").alias("_n"))
+    rows = parsed.select(*carried, F.posexplode(name).alias(place, "_r")).join(running_offsets(counts, "pdf_path"), "pdf_path")
     return rows.select((F.col("_offset") + F.col(place) + 1).cast("long").alias(key), *carried, place, "_r.*")
+
+
+def running_offsets(counts: DataFrame, key: str) -> DataFrame:
+    """(key, _offset): the sum of _n over all smaller keys. Keys are sorted by range, each range adds up its own, and one row a range is added up over all."""
+    ranged = materialize(counts.repartitionByRange(key).withColumn("_part", F.spark_partition_id()), "ranges")
+    earlier = lambda w: F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    first = ranged.groupBy("_part").agg(F.sum("_n").alias("_n")).select("_part", earlier(Window.orderBy("_part")).alias("_base"))
+    within = ranged.select(key, "_part", earlier(Window.partitionBy("_part").orderBy(key)).alias("_in"))
+    return within.join(F.broadcast(first), "_part").select(key, (F.col("_base") + F.col("_in")).alias("_offset"))
