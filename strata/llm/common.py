@@ -2,37 +2,26 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
+from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.scratch import drop_table, materialize, scratch_root
 
-def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of the cluster (spark.checkpoint.dir); only where it is unset, as in tests, one of our own."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = "file://" + os.path.join(tempfile.gettempdir(), "strata-scratch")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+__all__ = ["SMALL_ROWS", "blank_if_null", "documents", "drop_table", "materialize", "partitions_for", "scratch_root", "small", "worker_memo"]
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write df as a table in the shared folder and read it again: cuts the lineage, and a lost executor costs no more than its own tasks."""
-    path = f"{scratch_root(df.sparkSession)}/strata-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    out = df.sparkSession.read.schema(df.schema).parquet(path)
-    out._strata_path = path
-    return out
+_MEMO: dict[str, Any] = {}
 
 
-def drop_table(df: DataFrame) -> None:
-    """Delete a table of materialize() that no plan reads any more."""
-    spark = df.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(df._strata_path)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def worker_memo(name: str, make: Callable[[], Any]) -> Any:
+    """What a Python worker keeps over batches and tasks: of the operator at work only. The memo of another one is let go, so that a worker that serves many never holds more than one."""
+    if name not in _MEMO:
+        _MEMO.clear()
+        _MEMO[name] = make()
+    return _MEMO[name]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

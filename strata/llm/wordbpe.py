@@ -1,4 +1,4 @@
-"""Exact BPE encoding through a bounded memo of pre-token runs.
+"""Exact BPE encoding through a bounded memo of words.
 
 A BPE tokenizer first cuts a text into pre-tokens and merges inside each. Where
 the pre-tokenizer is sure to cut, a text can be encoded in pieces and the ids
@@ -10,8 +10,13 @@ joined. Two kinds are known, told from the tokenizer's own file:
 * words matched by a pattern with white space dropped: every blank and line
   feed is a cut.
 
-Any other tokenizer, and any text that holds the content of an added token,
-is encoded whole.
+Any other tokenizer, and any text that holds the content of an added token or
+(byte-level) two white-space characters in a row, is encoded whole.
+
+A piece that is new to the memo and holds plain Latin characters alone goes to
+the tokenizer's own model pre-token by pre-token; any other goes through the
+whole tokenizer. The memo has two generations of BUDGET bytes each: a full young
+one becomes the old one, and what is used again moves over.
 """
 
 from __future__ import annotations
@@ -23,16 +28,46 @@ from array import array
 
 import numpy as np
 
+from .common import worker_memo
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
+#: bytes of a generation of the memo, and what an entry has besides its characters and ids
+BUDGET, ENTRY = 64_000_000, 190
 _RUN = re.compile(r"\s\s")
 _SINGLE = re.compile(r"(?<=\S)(?= \S)")
+#: visible characters whose case, class and composition no version of Unicode changes
+_PLAIN = re.compile("[!-~¡-įı-ſ]+")
+#: signs of ASCII that end a word, but for the one that begins a contraction
+_SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: the byte-level pre-tokenizer's standard pattern (fixed value)
+_BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def byte_letters() -> dict[int, str]:
+    """The printable character that stands for each byte in a byte-level vocabulary: itself, or the next free one above 255."""
+    own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in own)}
+
+
+_LETTERS = byte_letters()
+
+
+def letters(text: str) -> str:
+    return text if text.isascii() and " " not in text else text.encode().decode("latin-1").translate(_LETTERS)
+
+
+def _unsure(key: str, first: bool) -> bool:
+    """Whether white space touches the blanks around a byte-level key or its line feeds, so that these are no sure cuts."""
+    text = key[1:] if first else key
+    return not (text or first) or text[:1].isspace() or text[-1:].isspace() or ("\n" in text and _RUN.search(text) is not None)
 
 
 class WordEncoder:
-    """encode(text) gives the ids as little-endian unsigned 32-bit bytes; decode(text) what the tokenizer decodes those ids to."""
+    """encode(text) gives the ids as little-endian unsigned 32-bit bytes; decode(ids) what the tokenizer decodes them to."""
 
-    def __init__(self, path: str, limit: int = 850_000, decoded: bool = False):
+    def __init__(self, path: str, budget: int = BUDGET):
+        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -40,47 +75,50 @@ class WordEncoder:
         self.tokenizer.no_truncation()
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        pre, norm = spec.get("pre_tokenizer") or {}, spec.get("normalizer")
+        pre, norm, model = spec.get("pre_tokenizer") or {}, spec.get("normalizer"), spec.get("model") or {}
         self.added = [t["content"] for t in spec.get("added_tokens", [])]
+        #: what all added tokens begin with: a piece without it holds none
+        self.mark = os.path.commonprefix(self.added)
         self.kind = "whole"
         if pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and not norm:
-            self.kind = "bytes"
+            self.kind, self.pattern = "bytes", regex.compile(_BYTE_PATTERN)
         elif pre.get("type") == "Sequence" and [p["type"] for p in pre["pretokenizers"]] == ["Split", "ByteLevel"]:
             split = pre["pretokenizers"][0]
             if split["behavior"] == "Removed" and split["invert"] and r"[^\s\p{L}\p{N}]+" in split["pattern"].get("Regex", ""):
-                self.kind = "words"
-        if any(" " in t or "\n" in t for t in self.added):
+                self.kind, self.pattern = "words", regex.compile(split["pattern"]["Regex"])
+        if any(" " in t or "\n" in t for t in self.added) or any(t.get("normalized") for t in spec.get("added_tokens", [])) or model.get("dropout"):
             self.kind = "whole"
+        #: what the normalizer does to plain characters is known
+        steps = [n["type"] for n in (norm or {}).get("normalizers", [norm] if norm else [])]
+        self.lowers = "Lowercase" in steps
+        self.direct = self.kind != "whole" and bool(self.mark or not self.added) and model.get("type") == "BPE" and set(steps) <= {"NFC", "Replace", "Lowercase"}
         #: tokens are joined by a blank when the file names no decoder
         self.joins = spec.get("decoder") is None
-        self.limit, self.decoded = limit, decoded
-        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.tokens = tokens = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
-        if self.kind == "bytes":
-            self.marked = np.array([t.startswith("\u0120") for t in tokens])
-        elif self.kind == "words":
-            import regex
-
-            suffix = spec["model"].get("end_of_word_suffix") or ""
-            self.pattern = regex.compile(pre["pretokenizers"][0]["pattern"]["Regex"])
-            self.marked = np.array([bool(suffix) and t.endswith(suffix) for t in tokens])
-        self.young: dict = {"": b""}
-        self.old: dict = {}
-        self.words: dict = {"": ""}
-        self.old_words: dict = {}
+        self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.raw = [i.to_bytes(4, "little") for i in range(self.size)]
+        self.tokens = [self.tokenizer.id_to_token(i) or "" for i in range(self.size)] if self.joins else []
+        self.budget, self.used, self.moved = budget, 0, 0
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.merge = self.tokenizer.model.tokenize
+        self.feed = self.whole("\n")
 
     def whole(self, text: str) -> bytes:
-        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        return array("I", self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
 
-    def pieces(self, text: str) -> list[str] | None:
-        """The pieces of a text that can be encoded one by one; None: only the whole text can."""
+    def decode(self, ids: bytes) -> str:
+        of = memoryview(ids).cast("I").tolist()
+        return " ".join(map(self.tokens.__getitem__, of)) if self.joins else self.tokenizer.decode(of, skip_special_tokens=False)
+
+    def keys(self, text: str) -> list[str] | None:
+        """The memo's keys of the pieces of a text; None: only the whole text can be encoded. Byte-level: a key stands for a blank and itself, and for what follows it alone if it begins with a line feed."""
         if self.kind == "words":
             return text.replace("\n", " ").split(" ")
-        if self.kind == "whole" or any(t in text for t in self.added):
+        if self.kind == "whole" or (self.mark in text and any(t in text for t in self.added)):
             return None
-        if "\0" in text or _RUN.search(text):
-            return _SINGLE.split(text)
-        return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
+        got = text.split(" ")
+        got[0] = "\n" + got[0]
+        return got
 
     def encode(self, text: str) -> bytes:
         return self.encode_many([text])[0]
@@ -98,81 +136,97 @@ class WordEncoder:
         return out + self._run(run)
 
     def _run(self, texts: list[str]) -> list[bytes]:
-        cut = [self.pieces(t) for t in texts]
         self.rotate()
         get = self.young.get
+        cut = [self.keys(t) for t in texts]
         found = [list(map(get, p or ())) for p in cut]
-        missed = [i for i, v in enumerate(found) if None in v]
-        self.learn({p for i in missed for p, v in zip(cut[i], found[i]) if v is None})
-        get = self.young.__getitem__
-        for i in missed:
-            found[i] = map(get, cut[i])
-        return [self.whole(t) if p is None else b"".join(v) for t, p, v in zip(texts, cut, found, strict=True)]
-
-    def decode(self, text: str) -> str:
-        """Of a text encoded just before; only where tokens are joined by a blank."""
-        words = self.words
-        return " ".join([w for w in map(words.__getitem__, self.pieces(text)) if w])
+        missed = {i: [k for k, v in enumerate(f) if v is None] for i, f in enumerate(found) if None in f}
+        if self.kind == "bytes":
+            for i in [i for i, at in missed.items() if any(_unsure(cut[i][k], k == 0) for k in at)]:
+                cut[i] = None
+                del missed[i]
+        self.learn({cut[i][k] for i, at in missed.items() for k in at})
+        for i, at in missed.items():
+            p, v = cut[i], found[i]
+            for k in at:
+                x = get(p[k])
+                v[k] = self.lines(p[k]) if x is None else x
+        return [self._apart(t) if p is None else b"".join(v) for t, p, v in zip(texts, cut, found, strict=True)]
+
+    def _apart(self, text: str) -> bytes:
+        """A byte-level text with runs of white space, cut where single blanks are sure; else the whole text."""
+        if self.kind != "bytes" or any(t in text for t in self.added):
+            return self.whole(text)
+        parts = self.tokenizer.encode_batch_fast(_SINGLE.split(text), add_special_tokens=False)
+        return b"".join([array("I", e.ids).tobytes() for e in parts])
 
     def rotate(self) -> None:
-        if len(self.young) > self.limit:
-            self.old, self.young = self.young, {"": b""}
-            self.old_words, self.words = self.words, {"": ""}
-
-    def learn(self, pieces: set[str]) -> None:
-        fresh = pieces.difference(self.young)
-        if self.old:
-            known = fresh.intersection(self.old)
-            self.young.update([(p, self.old[p]) for p in known])
-            if self.decoded:
-                self.words.update([(p, self.old_words[p]) for p in known])
-            fresh -= known
-        if self.kind == "bytes":
-            plain = [p for p in fresh if p.rfind(" ") == 0 and len(p) > 1]
-        else:
-            plain = [p for p in fresh if p.isascii() and p.isprintable()] if self.kind == "words" else []
-        if plain:
-            self.together(plain)
-        if len(plain) < len(fresh):
-            self.apart(list(fresh.difference(plain)))
-
-    def apart(self, pieces: list[str]) -> None:
-        for p, e in zip(pieces, self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False), strict=True):
-            ids = e.ids
-            self.young[p] = array("I", ids).tobytes()
-            if self.decoded:
-                self.words[p] = self.tokenizer.decode(ids, skip_special_tokens=False)
-
-    def together(self, pieces: list[str]) -> None:
-        """Ids of each piece from one call, told apart by the marks that tokens carry. Byte-level: a piece's first token alone starts with the mark of a blank. Words: the last token of each pre-token ends with the suffix, and an ASCII piece has as many as its pattern finds."""
-        first = self.kind == "bytes"
-        ids = np.array(self.tokenizer.encode(("" if first else " ").join(pieces), add_special_tokens=False).ids, np.uint32)
-        marks = np.flatnonzero(self.marked[ids])
-        if first:
-            ends = np.append(marks[1:], len(ids))
-        else:
-            n = np.cumsum([1 if p.isalpha() else len(self.pattern.findall(p.lower())) for p in pieces])
-            ends = marks[n - 1] + 1 if n[-1] == len(marks) else marks[:0]
-        if len(ends) != len(pieces) or (first and marks[0] != 0):
-            return self.apart(pieces)
-        raw, at = ids.tobytes(), 0
-        for p, end in zip(pieces, (ends * 4).tolist(), strict=True):
-            self.young[p] = raw[at:end]
-            at = end
-        if self.decoded:
-            names, at = [self.tokens[i] for i in ids.tolist()], 0
-            for p, end in zip(pieces, ends.tolist(), strict=True):
-                self.words[p] = " ".join(names[at:end])
-                at = end
-        return None
-
-
-_ENCODERS: dict = {}
-
-
-def encoder(path: str, decoded: bool = False) -> WordEncoder:
+        if self.used > self.budget:
+            self.old, self.young, self.used = self.young, {}, 0
+
+    @staticmethod
+    def parts(key: str) -> list[str]:
+        """The keys of the lines of a byte-level key that holds line feeds."""
+        first, *rest = key[1:].split("\n") if key[0] == "\n" else key.split("\n")
+        return ["\n" + first if key[0] == "\n" else first, *["\n" + r for r in rest]]
+
+    def lines(self, key: str) -> bytes:
+        return self.feed.join([self.young[p] if p != "\n" else b"" for p in self.parts(key)])
+
+    def learn(self, keys: set[str]) -> None:
+        """Have all keys in the young generation; of byte-level keys with line feeds the parts."""
+        young, old, byte = self.young, self.old, self.kind == "bytes"
+        if byte:
+            split = [k for k in keys if "\n" in k[1:]]
+            keys = keys.difference(split).union(*[self.parts(k) for k in split]) - {"\n"}  # an empty line
+        fresh = [k for k in keys if k not in young]
+        known = [k for k in fresh if k in old]
+        if known:
+            young.update(zip(known, map(old.__getitem__, known), strict=True))
+            self.moved += len(known)
+            fresh = [k for k in fresh if k not in old]
+        rest, merge, raw, direct, lowers, mark = [], self.merge, self.raw, self.direct, self.lowers, self.mark
+        for k in fresh:
+            if not direct:
+                rest.append(k)
+            elif k.isascii() and k.isalpha():  # one pre-token, nearly always
+                if byte:
+                    young[k] = b"".join([raw[t.id] for t in merge("\u0120" + k)])
+                elif lowers and not k.islower():
+                    young[k] = self.token(k.lower())
+                else:
+                    young[k] = b"".join([raw[t.id] for t in merge(k)])
+            elif _PLAIN.fullmatch(k, k[:1] == "\n") and not (mark and mark in k):
+                young[k] = self.plain(k)
+            else:
+                rest.append(k)
+        if rest:
+            texts = rest if not byte else [k[1:] if k[:1] == "\n" else " " + k for k in rest]
+            for k, e in zip(rest, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+                young[k] = array("I", e.ids).tobytes()
+        self.used += sum(map(len, known)) + sum(map(len, fresh)) + (ENTRY + 12) * (len(known) + len(fresh))
+
+    def token(self, key: str) -> bytes:
+        """Ids of a key that is one pre-token of plain characters."""
+        if (v := self.young.get(key)) is None:
+            text = key if self.kind == "words" else key[1:] if key[0] == "\n" else " " + key
+            v = self.young[key] = self.old.get(key) or b"".join([self.raw[t.id] for t in self.merge(letters(text))])
+            self.used += len(key) + ENTRY + 12
+        return v
+
+    def plain(self, key: str) -> bytes:
+        """Ids of a key of plain characters: of each pre-token, which is a key itself."""
+        text = key.lower() if self.lowers else key
+        word = text.rstrip(_SIGNS)
+        if word.isalpha():  # a word, maybe with signs after it
+            signs = text[len(word) :]
+            return self.token(word) + (self.token(signs if self.kind == "words" else "\n" + signs) if signs else b"")
+        if self.kind == "words":
+            return b"".join([self.token(p) for p in self.pattern.findall(text)])
+        parts = self.pattern.findall(text[1:] if text[0] == "\n" else " " + text)
+        return b"".join([self.token(p[1:] if p[0] == " " else "\n" + p) for p in parts])
+
+
+def encoder(path: str) -> WordEncoder:
     """One per Python worker, so that its memo lasts over batches and tasks."""
-    key = (path, decoded)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = WordEncoder(path, 500_000 if decoded else 850_000, decoded)
-    return _ENCODERS[key]
+    return worker_memo(f"words {path}", lambda: WordEncoder(path))
