@@ -8,9 +8,10 @@ chance.
 
 Lines are counted by two 64-bit hashes, combined before the shuffle. The
 boilerplate lines of a host are few whatever its size: at most the mean number
-of distinct lines of its pages, divided by the ratio. They are joined to the
-pages as one short array a host, and a hot host's pages are split by Spark's
-skew join (or the small side is broadcast when its measured size allows it).
+of distinct lines of its pages, divided by the ratio. They are written as one
+short array a host. Where all hosts' lines together stay below a counted bound
+they are broadcast, so texts are never exchanged; beyond it the pages of a host
+are dealt over SALTS parts, each of which meets a copy of the host's lines.
 
 Cases: null text stays null and is a page without lines; a null host is a host
 of its own; blank lines are kept and never counted; a line that a page repeats
@@ -24,7 +25,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import SMALL_ROWS, materialize
+
 RATIO, MIN_PAGES = 0.1, 5
+#: parts of a host's pages, where its lines are not broadcast
+SALTS = 64
 SPACE = " \t\n\x0b\x0c\r"
 
 
@@ -43,11 +48,21 @@ def boilerplate(pages: DataFrame, host: str = "source", text: str = "text", rati
     return often.groupBy(totals["_host"].alias("_host")).agg(F.collect_list(F.struct("a", "b")).alias("_lines"))
 
 
+def _with_lines(pages: DataFrame, found: DataFrame, host: str, text: str, keys: int) -> DataFrame:
+    """pages with the _lines of their host, of `keys` keys in all."""
+    same = pages[host].eqNullSafe(found["_host"])
+    if keys <= SMALL_ROWS:  # two longs a key
+        return pages.join(F.broadcast(found), same, "left")
+    copies = found.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = pages.withColumn("_part", F.pmod(F.xxhash64(text), F.lit(SALTS)).cast("int"))
+    return dealt.join(copies, dealt[host].eqNullSafe(copies["_host"]) & (F.col("_part") == F.col("_salt")), "left").drop("_part", "_salt")
+
+
 def drop_boilerplate(pages: DataFrame, host: str = "source", text: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
     """pages with the boilerplate lines taken out of the text, and n_lines (lines that are not blank) and n_dropped."""
     pages = pages.drop("n_lines", "n_dropped")
-    found = boilerplate(pages, host, text, ratio, min_pages)
-    joined = pages.join(found, pages[host].eqNullSafe(found["_host"]), "left")
+    found = materialize(boilerplate(pages, host, text, ratio, min_pages), "boilerplate")
+    joined = _with_lines(pages, found, host, text, found.agg(F.sum(F.size("_lines") + 1)).first()[0] or 0)
     lines = F.split(F.col(text), "\n")
     kept = F.filter(lines, lambda x: (F.btrim(x, F.lit(SPACE)) == "") | ~F.array_contains(F.col("_lines"), _key(x)))
     out = joined.withColumn("_kept", F.when(F.col("_lines").isNull(), lines).otherwise(kept))
