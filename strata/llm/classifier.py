@@ -8,8 +8,8 @@ their shapes (case, digits, marks, repetition of the word before), which also
 cover words never seen. A network of two layers, in numpy, is trained on these
 by Adam; a temperature fitted on rows kept out of training calibrates it.
 
-The sample is bounded by SAMPLE rows (the smallest by a hash of doc_id), the
-vocabulary by VOCABULARY words; both are parameters. Rows whose
+The sample is bounded by SAMPLE rows (the smallest by a hash of doc_id), a
+parameter; its vocabulary is every word that it holds LEAST times. Rows whose
 crc32(doc_id as text) mod 4 is 2 are held out and never learned from. Labels,
 lang, source and doc_id are no inputs. Scoring reads each whole text once.
 
@@ -31,7 +31,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SAMPLE, VOCABULARY, DIM, NONZERO, WINDOW = 4000, 20_000, 64, 6, 2
+from .common import materialize
+
+SAMPLE, LEAST, DIM, NONZERO, WINDOW = 4000, 3, 64, 6, 2
 SHAPES, HIDDEN, EPOCHS, SEED = 64, 32, 60, 11
 _SHAPE = [(re.compile(p), r) for p, r in (("[a-zß-öø-ÿ]+", "a"), ("[A-ZÀ-ÖØ-Þ]+", "A"), ("[0-9]+", "9"), (r"(.)\1+", r"\1"))]
 
@@ -50,11 +52,11 @@ def shape(word: str) -> str:
     return word[:8]
 
 
-def learn_words(texts: list[str], dim: int = DIM, vocabulary: int = VOCABULARY) -> tuple[list[str], np.ndarray]:
-    """The most frequent words and their context vectors of unit length."""
+def learn_words(texts: list[str], dim: int = DIM, least: int = LEAST) -> tuple[list[str], np.ndarray]:
+    """The words that occur `least` times or more, and their context vectors of unit length."""
     docs = [[w.lower() for w in t.split()] for t in texts]
     counts = Counter(w for d in docs for w in d)
-    words = [w for w, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:vocabulary]]
+    words = sorted(w for w, n in counts.items() if n >= least)
     place = {w: i for i, w in enumerate(words)}
     index = np.stack([index_vector(w, dim) for w in words]) if words else np.zeros((0, dim), np.float32)
     index = np.vstack([index, np.zeros((1, dim), np.float32)])
@@ -83,7 +85,7 @@ class Pooler:
         """Vocabulary place and shape of a word in one number, and 30 bits of its hash to tell repeats."""
         h = zlib.crc32(word.encode("utf-8", "surrogatepass"))
         c = (self.place.get(word.lower(), len(self.place)) << 38) | (zlib.crc32(shape(word).encode()) % (SHAPES - 2) << 30) | h >> 2
-        if len(self.memo) > 400_000:
+        if len(self.memo) > 200_000:
             self.memo.clear()
         self.memo[word] = c
         return c
@@ -92,7 +94,7 @@ class Pooler:
         words = text.split()
         n = len(words)
         if not n:
-            return np.zeros(2 * self.context.shape[1] + 1, np.float32)
+            return np.zeros(self.context.shape[1] + DIM + 1, np.float32)
         got = list(map(self.memo.get, words))
         if None in got:
             got = [self.code(w) if c is None else c for w, c in zip(words, got, strict=True)]
@@ -165,7 +167,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: in
         names, context = learn_words([t for _, t in got])
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([c.tobytes() for c in context], pa.binary())], ["word", "vec"])
 
-    found = texts.select("doc_id", "text").coalesce(1).mapInArrow(words, "word string, vec binary").collect()  # one task and VOCABULARY rows: the sample is bounded
+    texts = materialize(texts, "sample")  # SAMPLE rows; texts are searched for them once
+    found = texts.select("doc_id", "text").repartition(1).mapInArrow(words, "word string, vec binary").collect()  # the sample alone moves to one task; it is bounded, and so are its words
     names = [r.word for r in found]
     context = np.array([np.frombuffer(r.vec, np.float32) for r in found], np.float32).reshape(-1, DIM)
 
