@@ -1,36 +1,34 @@
 """Exact Jaccard join on word n-grams by T-occurrence search (operator 8).
 
 A document is the set of its shingles of k words. Two documents whose Jaccard
-similarity is at least t share T = ceil(t * n) shingles at least, n the size of
-either. So, under any order of all shingles, one of the first n - T + 1 of each
-is common to both: these posting lists are merged, the rest need not be.
-
-* The order takes long shingles (in bytes) first: nearly all of them are rare,
-  and no counts of all shingles are needed.
-* Long lists are set aside, as DivideSkip does: a shingle whose list joins many
-  documents of different groups (LONG) goes behind all others, for every
-  document, and the document takes further short lists in its place. A document
-  with too few short lists keeps its first ones, long ones too, and meets in
-  those lists with all documents that have them among their first.
-* What shares a list, can still reach the size bound and passes the parity
-  sketch is a candidate. The sketch of a set has the parity of its shingles in
-  each of 64 * WORDS cells; sets that differ in d shingles have sketches that differ
-  in d bits at most, so the test loses no pair.
-* The shingles outside the merged lists are probed by binary search in the
-  sorted set of the other document, and pairs that reach the required overlap
-  stay.
-
-Documents of equal sets are one class beforehand. Neighbours in the order of
-min-hashes (KEYS orders) are verified first and joined into groups; pairs inside a group
-need no further look when only connection is asked, so groups of thousands of
-near copies never give all their pairs. No list is collected: lists are joined
-with themselves, where Spark splits hot ones.
+similarity is t or more share T = ceil(t * n) shingles at least, n the size of
+either. So a document whose shingles occur in fewer than T inverted lists with
+another document in them links with nothing, and of the others, under any order
+of all shingles, one of the first s - T + 1 of each is common to both, s the
+number of its shingles that any other document has. The order is by length of
+the list, so nearly all documents drop out before any pair is looked at.
+
+* Equal texts are one class, and one of them is read on.
+* The inverted lists are built in buckets of the hash space. A task sends each
+  bucket one packed array for a block of documents, not a row for each shingle;
+  a bucket's task merges the arrays, drops lists of one document and sends each
+  block its shared shingles with the lengths of their lists.
+* Documents that can link (s >= T) and share one of their first s - T + 1 lists,
+  directly or over others, form a unit. Units are searched in tasks of BLOCK or
+  two times BLOCK documents: a larger one is dealt out by pairs of blocks.
+* The search in a unit is DivideSkip: of a document's lists the L longest are set
+  aside, the short ones are merged by counting, what occurs T - L times or more
+  is looked up in the long lists by binary search, and pairs that reach the
+  overlap that their sizes require are links.
+
+No pair is written: tasks give each document's number of links, and a spanning
+forest of the links found.
 
 Cases: null text, or text without words, is the empty set and links with
-nothing; a text with fewer words than k is one shingle of all its words; a null
-doc_id has a null component and links with nothing; rows that share a doc_id are
-one node; equal rows are in one class; an empty table has no rows; other columns
-are not read.
+nothing, not even with an equal row; a text with fewer words than k is one
+shingle of all its words; a null doc_id has a null component and links with
+nothing; rows that share a doc_id are one node; equal rows are in one class and
+are links of one another; an empty table has no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -42,13 +40,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_table, materialize, partitions_for, small
-from .components import connected_components
+from .common import drop_table, materialize, small, worker_memo
+from .components import connected_components, forest
 
-LONG = 16
-#: longs of a parity sketch, orders by min-hashes, rows before one among which its neighbour is sought
-WORDS, KEYS, BEHIND = 8, 3, 8
-SKETCH = [f"b{i}" for i in range(WORDS)]
+#: shingles and documents of a block that a task packs, shingles of a bucket that a task merges, documents of a block in a search
+PACKED, PACKED_DOCS, BUCKET, BLOCK = 1_000_000, 4096, 4_000_000, 512
+#: share of a merged list's cost that a probe is taken for, as in DivideSkip's choice of L
+MU = 0.1
+#: bits of a shingle's hash besides those of its bucket, and of the fewest buckets
+BITS, LEAST_BUCKETS = 48, 7
 _MUL = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)]
 _TABLE = bytes(32 if c in b"\t\n\x0b\x0c\r" else c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -59,262 +59,304 @@ class _Words(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
 
 
-_WORDS = _Words()
-
-
-def shingles(text: str | None, k: int) -> np.ndarray:
-    """The sorted distinct shingles: 8 bits that fall with the length in bytes, then 56 bits of hash."""
-    words = (text or "").encode("utf-8", "surrogatepass").translate(_TABLE).split(b" ")
-    words = [w for w in words if w]
+def shingles(text: str | None, k: int, memo: dict[bytes, int] | None = None) -> np.ndarray:
+    """64-bit hashes of the shingles, in order and with repeats."""
+    words = (text or "").encode("utf-8", "surrogatepass").translate(_TABLE).split()
     n = len(words)
     if not n:
         return np.zeros(0, np.uint64)
-    h = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, n)
-    size = np.fromiter(map(len, words), np.int64, n)
+    h = np.fromiter(map((_Words() if memo is None else memo).__getitem__, words), np.uint64, n)
     k = min(k, n)
     m = n - k + 1
-    x, bytes_ = np.zeros(m, np.uint64), np.zeros(m, np.int64)
+    x = np.full(m, k, np.uint64)
     for i in range(k):
         y = h[i : i + m] * _MUL[i % 8] + np.uint64(i + 1)
         x = (x ^ (y ^ (y >> np.uint64(31)))) * _MUL[(i + 3) % 8]
-        bytes_ += size[i : i + m]
     x ^= x >> np.uint64(29)
-    return np.unique(((255 - np.minimum(255, bytes_)).astype(np.uint64) << np.uint64(56)) | (x >> np.uint64(8)))
+    x *= _MUL[6]
+    return x ^ (x >> np.uint64(32))
 
 
-def required(n: int, num: int, den: int) -> int:
+def required(n, num: int, den: int):
     """Shingles that a document of n shares with any other at the threshold num / den at least."""
     return -(-num * n // den)
 
 
-def sketch(x: np.ndarray) -> np.ndarray:
-    """The parity of the shingles in each cell, packed into WORDS longs."""
-    cells = 64 * WORDS
-    at = (x * _MUL[7]) >> np.uint64(32)
-    return np.packbits((np.bincount((at % np.uint64(cells)).astype(np.int64), minlength=cells) & 1).astype(np.uint8)).view(np.int64)
+def _planes(x: np.ndarray, size: int) -> bytes:
+    """The low `size` bytes of each value, byte by byte, so that equal ones lie together."""
+    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size].T).tobytes()
 
 
-def most_differing(total, num: int, den: int):
-    """Shingles in one set alone, of two sets of total shingles together, at similarity num / den at most."""
-    return total - 2 * (-(-num * total // (num + den)))
+def _values(raw: bytes, n: int, size: int, at: int) -> np.ndarray:
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :size] = np.frombuffer(raw, np.uint8, n * size, at).reshape(size, n).T
+    return out.view("<u8").reshape(-1)
 
 
-def _signed(x: int) -> int:
-    return (x & (2**64 - 1)) - 2**63
+def pack(tokens: np.ndarray, docs: np.ndarray, counts: np.ndarray | None = None) -> bytes:
+    """Ascending tokens as differences, places of documents and, if given, lengths of lists."""
+    import zstandard
 
+    raw = _planes(np.diff(tokens, prepend=np.zeros(1, np.uint64)), 7) + _planes(docs, 2)
+    return zstandard.ZstdCompressor(level=1).compress(raw if counts is None else raw + _planes(counts, 5))
 
-def _features(k: int, num: int, den: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
 
-        keys = [f"m{i}" for i in range(KEYS)]
-        for b in batches:
-            n, d1, d2, first, bits, mins = [], [], [], [], [], []
-            for t in b.column(1).to_pylist():
-                x = shingles(t, k)
-                n.append(len(x))
-                d = xxhash.xxh3_128_intdigest(x.tobytes())
-                d1.append(_signed(d))
-                d2.append(_signed(d >> 64))
-                first.append(x[: len(x) - required(len(x), num, den) + 1].tobytes())
-                bits.append(sketch(x))
-                m = [int((x * _MUL[j]).min()) if len(x) else 0 for j in range(2 * KEYS)]
-                mins.append([_signed(m[2 * j] ^ m[2 * j + 1] * 3) for j in range(KEYS)])
-            bits, mins = np.array(bits, np.int64).reshape(-1, WORDS), np.array(mins, np.int64).reshape(-1, KEYS)
-            cols = [b.column(0), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(first, pa.binary())]
-            cols += [pa.array(np.ascontiguousarray(c)) for c in (*mins.T, *bits.T)]
-            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n", "d1", "d2", "first", *keys, *SKETCH])
+def unpack(raw: bytes, counted: bool = False) -> tuple[np.ndarray, ...]:
+    import zstandard
 
-    return run
+    raw = zstandard.ZstdDecompressor().decompress(raw)
+    n = len(raw) // (14 if counted else 9)
+    tokens, docs = np.cumsum(_values(raw, n, 7, 0), dtype=np.uint64), _values(raw, n, 2, 7 * n).astype(np.int64)
+    return (tokens, docs, _values(raw, n, 5, 9 * n).astype(np.int64)) if counted else (tokens, docs)
 
 
-def _neighbours(num: int, den: int):
-    """Pairs (u, v) in a task's sorted rows (key, n, cid, sketch): a row and the next before it, of the last BEHIND, of equal key whose sketch may agree."""
+def _batch(rows: list[tuple], kinds: list[pa.DataType], names: list[str]) -> pa.RecordBatch:
+    cols = list(zip(*rows, strict=True)) or [[]] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names)
 
-    def run(batches):
-        tail = None
-        for b in batches:
-            cols = np.stack([b.column(i).to_numpy(zero_copy_only=False) for i in range(3 + WORDS)])
-            if tail is not None:
-                cols = np.concatenate([tail, cols], axis=1)
-            new = cols.shape[1] - b.num_rows
-            k, n, c, bits = cols[0], cols[1], cols[2], cols[3:]
-            partner = np.full(len(k), -1)
-            for o in range(1, min(BEHIND, len(k) - 1) + 1):
-                total = n[o:] + n[:-o]
-                ok = (k[o:] == k[:-o]) & (np.bitwise_count(bits[:, o:] ^ bits[:, :-o]).sum(axis=0) <= most_differing(total, num, den)) & (partner[o:] < 0)
-                at = np.flatnonzero(ok) + o
-                partner[at] = at - o
-            at = np.flatnonzero(partner >= 0)
-            at = at[at >= new]
-            u, v = c[at], c[partner[at]]
-            tail = cols[:, -BEHIND:].copy()
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v), pa.int64()), pa.array(np.maximum(u, v), pa.int64())], ["u", "v"])
 
-    return run
+def _blocks(k: int, bits: int):
+    """Rows (bucket, block, payload) of (doc_id, h1, h2, text): a block's shingles by bucket, and what is known of its documents in a row of a negative bucket, which passes through."""
 
+    def flush(block: int, docs: list[tuple], sets: list[np.ndarray]) -> pa.RecordBatch:
+        sizes = np.array([len(s) for s in sets], np.int64)
+        tokens, place = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+        order = np.argsort(tokens, kind="stable")
+        tokens, place = tokens[order], place[order]
+        cuts = np.searchsorted(tokens, np.arange((1 << bits) + 1, dtype=np.uint64) << np.uint64(BITS)).tolist()
+        null = np.array([d[0] is None for d in docs], np.int64)
+        known = np.concatenate([np.array([d[0] or 0 for d in docs], np.int64), null, sizes, np.array([d[1] for d in docs], np.int64), np.array([d[2] for d in docs], np.int64)])
+        rows = [(-1 - block % 997, block, known.tobytes())]
+        rows += [(b, block, pack(tokens[s:e], place[s:e])) for b, (s, e) in enumerate(zip(cuts, cuts[1:], strict=False)) if s < e]
+        return _batch(rows, [pa.int32(), pa.int64(), pa.binary()], ["bucket", "block", "payload"])
 
-def verified(pairs: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """The pairs (u, v) of doc_ids whose sets have num / den similarity at least; docs (doc_id, text). A written table."""
-    ids = materialize(pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct(), "ids")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
 
-    def sets(batches):
+        memo, block = worker_memo("shingle words", _Words), TaskContext.get().partitionId() << 32
+        docs, sets, size = [], [], 0
+        shift = np.uint64(64 - BITS - bits)
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingles(t, k).tobytes() for t in b.column(1).to_pylist()], pa.binary())], ["id", "s"])
+            for d, h1, h2, t in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
+                x = np.unique(shingles(t, k, memo) >> shift)
+                docs.append((d, h1, h2))
+                sets.append(x)
+                size += len(x)
+                if size >= PACKED or len(docs) >= PACKED_DOCS:
+                    yield flush(block, docs, sets)
+                    docs, sets, size, block = [], [], 0, block + 1
+        if docs:
+            yield flush(block, docs, sets)
 
-    s = docs.join(small(ids), docs.doc_id == ids.id, "left_semi").select("doc_id", "text").mapInArrow(sets, "id long, s binary")
+    return run
 
-    def keep(batches):
-        for b in batches:
-            ok = []
-            for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                if len(x) > len(y):
-                    x, y = y, x
-                at = np.searchsorted(y, x)
-                common = int(np.count_nonzero(y[np.minimum(at, len(y) - 1)] == x)) if len(x) else 0
-                ok.append(common > 0 and den * common >= num * (len(x) + len(y) - common))
-            yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(ok, pa.bool_())), b.column(1).filter(pa.array(ok, pa.bool_()))], ["u", "v"])
-
-    su, sv = s.select(F.col("id").alias("u"), F.col("s").alias("x")), s.select(F.col("id").alias("v"), F.col("s").alias("y"))
-    out = materialize(pairs.join(su, "u").join(sv, "v").select("u", "v", "x", "y").mapInArrow(keep, "u long, v long").distinct(), "verified")
-    drop_table(ids)
-    return out
 
+def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(block, kind, payload) of sorted rows (bucket, block, payload): the shingles of each block that lists of two documents or more hold, with the lengths of these."""
+
+    def merged(blocks: list[int], payloads: list[bytes]):
+        got = [unpack(p) for p in payloads]
+        tokens = np.concatenate([g[0] for g in got])
+        docs = np.concatenate([g[1] + (i << 16) for i, g in enumerate(got)])
+        order = np.argsort(tokens, kind="stable")
+        tokens, docs = tokens[order], docs[order]
+        first = np.flatnonzero(np.append(True, tokens[1:] != tokens[:-1]))
+        length = np.diff(np.append(first, len(tokens)))
+        counts = np.repeat(length, length)
+        shared = counts > 1
+        tokens, docs, counts = tokens[shared], docs[shared], counts[shared]
+        order = np.argsort(docs >> 16, kind="stable")
+        tokens, docs, counts = tokens[order], docs[order], counts[order]
+        cuts = np.searchsorted(docs >> 16, np.arange(len(blocks) + 1)).tolist()
+        for b, s, e in zip(blocks, cuts, cuts[1:], strict=False):
+            if s < e:
+                yield b, 1, pack(tokens[s:e], docs[s:e] & 0xFFFF, counts[s:e])
+
+    def out(rows):
+        return _batch(list(rows), [pa.int64(), pa.int32(), pa.binary()], ["block", "kind", "payload"])
+
+    key, blocks, payloads = None, [], []
+    for b in batches:
+        known = []
+        for bucket, block, payload in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+            if bucket < 0:
+                known.append((block, 0, payload))
+                continue
+            if bucket != key:
+                if blocks:
+                    yield out(merged(blocks, payloads))
+                key, blocks, payloads = bucket, [], []
+            blocks.append(block)
+            payloads.append(payload)
+        if known:
+            yield out(known)
+    if blocks:
+        yield out(merged(blocks, payloads))
+
+
+def _documents(num: int, den: int):
+    """(doc_id, n, h1, h2, need, tokens) of sorted rows (block, kind, payload): the shared shingles of each document that may link, the shortest lists first, and how many of them it must meet a partner in."""
+
+    def block(payloads: list[tuple[int, bytes]]) -> pa.RecordBatch:
+        known = np.frombuffer(next(p for kind, p in payloads if kind == 0), np.int64).reshape(5, -1)
+        ids, null, n, h1, h2 = known
+        got = [unpack(p, True) for kind, p in payloads if kind]
+        tokens, docs, counts = (np.concatenate([g[i] for g in got]) if got else np.zeros(0, np.int64) for i in range(3))
+        order = np.lexsort((tokens, counts, docs))
+        tokens, docs = tokens[order].astype("<u8"), docs[order]
+        cuts = np.searchsorted(docs, np.arange(len(n) + 1))
+        need = np.where((n > 0) & (null == 0), np.maximum(0, np.diff(cuts) - required(n, num, den) + 1), 0)
+        sets = [tokens[s:e].tobytes() if k else None for s, e, k in zip(cuts.tolist(), cuts[1:].tolist(), need.tolist(), strict=False)]
+        return pa.RecordBatch.from_arrays([pa.array(ids, mask=null > 0), pa.array(n), pa.array(h1), pa.array(h2), pa.array(need, pa.int64()), pa.array(sets, pa.binary())], ["doc_id", "n", "h1", "h2", "need", "tokens"])
 
-def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row; similarity num / den or more of k-word shingles links."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    keys = [f"m{i}" for i in range(KEYS)]
-    longs = [*keys, *SKETCH]
-    feats = materialize(texts.mapInArrow(_features(k, num, den), "doc_id long, n long, d1 long, d2 long, first binary, " + ", ".join(f"{c} long" for c in longs)), "features")
-    full = feats.where("n > 0 and doc_id is not null")
-    cids = materialize(full.groupBy("d1", "d2").agg(F.min("doc_id").alias("cid")), "classes")
-    # one row a class; rows that share a doc_id may hold several sets, all in the one node
-    classes = full.select("doc_id", "n", "d1", "d2", *longs).join(small(cids), (full.doc_id == cids.cid) & (full.d1 == cids.d1) & (full.d2 == cids.d2)).select("cid", "n", full.d1, full.d2, *longs)
-    classes = materialize(classes.dropDuplicates(["cid", "d1", "d2"]).drop("d1", "d2"), "sets")
-    n_classes = classes.count()
-
-    # neighbours by min-hash: a sound start, what it misses is found below
-    near = None
-    for m in keys:
-        r = classes.select(F.col(m).alias("k"), "n", "cid", *SKETCH).repartitionByRange(partitions_for(n_classes, 100_000), "k", "n", "cid").sortWithinPartitions("k", "n", "cid").mapInArrow(_neighbours(num, den), "u long, v long")
-        near = r if near is None else near.unionByName(r)
-    near = materialize(near.distinct(), "near")
-    first_links = verified(near, texts, k, num, den)
-    drop_table(near)
-    groups = connected_components(first_links)
-
-    named = materialize(classes.join(small(groups), classes.cid == groups.node, "left").select("cid", "n", F.coalesce("component", "cid").alias("grp"), *SKETCH), "groups")
-    drop_table(classes)
-    grouped = full.select("doc_id", "n", "first").join(small(named.select("cid", "grp").distinct()), F.col("doc_id") == F.col("cid")).select("cid", "n", "grp", "first")
-    pairs = materialize(_candidates(grouped, named.drop("grp"), texts, k, num, den), "candidates")
-    second_links = verified(pairs, texts, k, num, den)
-    drop_table(pairs)
-    drop_table(named)
-    roots = connected_components(first_links.unionByName(second_links))
-    component = cids.join(small(roots), cids.cid == roots.node, "left").select("d1", "d2", F.coalesce("component", "cid").alias("component_id"))
-    rows = feats.select("doc_id", F.col("n").alias("n_shingles"), "d1", "d2")
-    linked = rows.where("n_shingles > 0 and doc_id is not null").join(component, ["d1", "d2"]).select("doc_id", "n_shingles", "component_id")
-    alone = rows.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return linked.unionByName(alone)
-
-
-def _postings():
-    """(token, cid, n, grp) of all shingles in a row's prefix."""
-
-    def run(batches):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []
         for b in batches:
-            sets = [np.frombuffer(x, np.uint64) for x in b.column(3).to_pylist()]
-            times = np.array([len(x) for x in sets], np.int64)
-            at = np.repeat(np.arange(len(sets)), times)
-            flat = (np.concatenate(sets) if sets else np.zeros(0, np.uint64)).view(np.int64)
-            take = pa.array(at)
-            yield pa.RecordBatch.from_arrays([pa.array(flat), b.column(0).take(take), b.column(1).take(take), b.column(2).take(take)], ["token", "cid", "n", "grp"])
+            for of, kind, payload in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+                if of != key:
+                    if held:
+                        yield block(held)
+                    key, held = of, []
+                held.append((kind, payload))
+        if held:
+            yield block(held)
 
     return run
 
 
-def _candidates(grouped: DataFrame, sketches: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """Pairs (u, v) of classes of different groups that share a merged list and fit in size and sketch."""
-    schema = "token long, cid long, n long, grp long"
-    base = grouped.select("cid", "n", "grp", "first").mapInArrow(_postings(), schema)
-    lists = base.groupBy("token").agg(F.count("*").alias("c"), F.min("grp").alias("lo"), F.max("grp").alias("hi")).where("c > 1 and lo != hi")
-    lists = materialize(lists.select("token", "c"), "lists")
-    long = lists.where(F.col("c") > LONG).select("token")
-    shared = materialize(base.join(small(lists), "token").select("token", "cid", "n", "grp", (F.col("c") > LONG).alias("long")), "shared")
-
-    # documents with a long list among their first choose again, behind all short ones
-    again = materialize(shared.where("long").select("cid").distinct(), "again")
-
+def _first_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(token, doc): the lists in which a document must meet a partner."""
+    for b in batches:
+        need = b.column(1).to_numpy(zero_copy_only=False)
+        sets = [np.frombuffer(t, "<i8", int(k)) for t, k in zip(b.column(2).to_pylist(), need.tolist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets) if sets else np.zeros(0, np.int64), pa.int64()), pa.array(np.repeat(b.column(0).to_numpy(zero_copy_only=False), need), pa.int64())], ["token", "doc"])
+
+
+def search(sets: list[np.ndarray], n: np.ndarray, num: int, den: int, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of places (x, y) whose sets are num / den similar or more, by DivideSkip; n: the whole sizes of the sets, of which only shared shingles are given. own: only pairs of a document of part 0 with one of part 1."""
+    size = np.array([len(s) for s in sets], np.int64)
+    at, total = np.repeat(np.arange(len(sets)), size), len(sets)
+    _, tokens = np.unique(np.concatenate(sets), return_inverse=True)
+    order = np.argsort(tokens, kind="stable")
+    owner = at[order]
+    length = np.bincount(tokens)
+    ends = np.cumsum(length)
+    starts = ends - length
+    #: every (list, document) in order, for probes by binary search
+    keys = tokens[order] * total + owner
+    cuts = np.cumsum(size)
+    asked = np.flatnonzero(own == 0) if own is not None else np.arange(total)
+    xs, ys = [], []
+    for x in asked.tolist():
+        t = int(required(int(n[x]), num, den))
+        if size[x] < t:
+            continue
+        lists = tokens[cuts[x] - size[x] : cuts[x]]
+        lists = lists[np.argsort(length[lists], kind="stable")]
+        aside = min(t - 1, int(t / (MU * np.log2(max(2, int(length[lists[-1]]))) + 1)))
+        cut = len(lists) - aside
+        short, long = lists[:cut], lists[cut:]
+        count = np.bincount(np.concatenate([owner[s:e] for s, e in zip(starts[short].tolist(), ends[short].tolist(), strict=True)]), minlength=total)
+        near = np.flatnonzero(count >= t - aside)
+        near = near[near > x] if own is None else near[own[near] == 1]
+        if not len(near):
+            continue
+        m = n[near]
+        overlap = count[near]
+        if aside:
+            probes = (long[:, None] * total + near[None, :]).ravel()
+            found = np.searchsorted(keys, probes)
+            overlap = overlap + (keys[np.minimum(found, len(keys) - 1)] == probes).reshape(aside, -1).sum(0)
+        near = near[den * overlap >= num * (n[x] + m - overlap)]
+        if len(near):
+            xs.append(np.full(len(near), x))
+            ys.append(near)
+    return (np.concatenate(xs), np.concatenate(ys)) if xs else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
+def _search(num: int, den: int):
+    """(a, w, b) of sorted rows (unit, i, j, own, doc, n, weight, tokens): w texts linked with document a, counted here, or (w 0) a link a, b of the spanning forest."""
+
+    def found(key: tuple, held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        own, doc, n, weight = (np.array([h[c] for h in held], np.int64) for c in range(4))
+        if len(held) < 2:
+            return
+        two = key[1] != key[2]
+        x, y = search([np.frombuffer(h[4], "<u8") for h in held], n, num, den, (own == key[2]).astype(np.int64) if two else None)
+        keep = doc[x] != doc[y]
+        x, y = x[keep], y[keep]
+        if not len(x):
+            return
+        counts = np.bincount(x, weight[y], len(doc)).astype(np.int64) + np.bincount(y, weight[x], len(doc)).astype(np.int64)
+        nodes, root = forest(x, y)
+        tree = nodes != root
+        at = np.flatnonzero(counts)
+        a, w = np.concatenate([doc[at], doc[nodes[tree]]]), np.concatenate([counts[at], np.zeros(int(tree.sum()), np.int64)])
+        b = np.concatenate([np.zeros(len(at), np.int64), doc[root[tree]]])
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(w), pa.array(b, mask=np.arange(len(a)) < len(at))], ["a", "w", "b"])
 
-    def longer(batches):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []
         for b in batches:
-            sets = [shingles(t, k) for t in b.column(2).to_pylist()]
-            n = [len(x) for x in sets]
-            first = [x[: 2 * (m - required(m, num, den) + 1) + 16].tobytes() for x, m in zip(sets, n, strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), b.column(1), pa.array(first, pa.binary())], ["cid", "n", "grp", "first"])
+            for row in zip(*(b.column(c).to_pylist() for c in range(8)), strict=True):
+                if row[:3] != key:
+                    if held:
+                        yield from found(key, held)
+                    key, held = row[:3], []
+                held.append(row[3:])
+        if held:
+            yield from found(key, held)
 
-    owners = materialize(grouped.select("cid", "grp").distinct().join(small(again), "cid", "left_semi"), "owners")
-    rows = texts.join(small(owners), texts.doc_id == owners.cid).where("text is not null").select("cid", "grp", "text").mapInArrow(longer, "cid long, n long, grp long, first binary")
-    rows = materialize(rows, "longer")
-    theirs = rows.select("cid", "n", "grp", "first").mapInArrow(_postings(), schema).join(long, "token", "left_semi").groupBy("cid").agg(F.collect_list("token").alias("skip"))  # of the stored ones only
+    return run
 
-    def choose(batches):
-        for b in batches:
-            out: list[list] = [[], [], [], [], []]
-            for cid, n, grp, first, skip in zip(*(b.column(i).to_pylist() for i in range(5)), strict=True):
-                x = np.frombuffer(first, np.uint64)
-                p = n - required(n, num, den) + 1
-                short = x[~np.isin(x, np.array(skip, np.int64).view(np.uint64))]
-                if len(short) >= p:
-                    got, kind = short[:p], 0
-                elif len(x) == n:  # the whole set is known: short ones first, then long ones in order
-                    got, kind = np.concatenate([short, x[np.isin(x, short, invert=True)]])[:p], 0
-                else:
-                    got, kind = x[:p], 1
-                marks = np.full(len(got), kind, np.int32)
-                if kind == 0:  # found by documents that keep their long lists
-                    rest = np.setdiff1d(x[:p], got)
-                    got, marks = np.concatenate([got, rest]), np.concatenate([marks, np.full(len(rest), 2, np.int32)])
-                for c, v in zip(out, (got.view(np.int64).tolist(), [cid] * len(got), [n] * len(got), [grp] * len(got), marks.tolist()), strict=True):
-                    c += v
-            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in out[:4]), pa.array(out[4], pa.int32())], ["token", "cid", "n", "grp", "kind"])
-
-    chosen = rows.join(theirs, "cid").select("cid", "n", "grp", "first", "skip").mapInArrow(choose, schema + ", kind int")
-    # the others keep theirs; what the choice has added meets every list, not only those shared before
-    kept = shared.join(again, "cid", "left_anti").select("token", "cid", "n", "grp", F.lit(0).alias("kind"))
-    new = materialize(chosen, "chosen")
-    fresh = materialize(new.where("kind = 0").select("token").distinct().join(lists.select("token"), "token", "left_anti"), "fresh")
-    others = base.join(small(fresh), "token", "left_semi").join(again, "cid", "left_anti").select("token", "cid", "n", "grp", F.lit(0).alias("kind"))
-    ones = new.where("kind = 1")
-    asked = materialize(ones.select("token").distinct(), "asked")
-    short = kept.unionByName(new.where("kind = 0")).unionByName(others)
-    # one shuffle by token serves both the removal of repeated rows and the join
-    short = short.select("token", "cid", "n", "grp").repartition("token").distinct()
-    pairs = _meet(short, short, num, den, F.col("a.cid") < F.col("b.cid"))
-    # documents that keep long lists meet all that have those among their first
-    whole = kept.unionByName(new).unionByName(others).join(small(asked), "token", "left_semi").select("token", "cid", "n", "grp").distinct()
-    pairs = pairs.unionByName(_meet(ones.select("token", "cid", "n", "grp").distinct(), whole, num, den, F.col("a.cid") != F.col("b.cid")))
-    sketches = small(sketches, WORDS + 2)
-    for side in ("u", "v"):
-        pairs = pairs.join(sketches.select(F.col("cid").alias(side), F.col("n").alias(f"n{side}"), *[F.col(c).alias(f"{side}{c}") for c in SKETCH]), [side, f"n{side}"])
-    differing = "+".join(f"bit_count(u{c} ^ v{c})" for c in SKETCH)
-    near = F.expr(f"{differing} <= nu + nv - 2 * (({num} * (nu + nv) + {num + den - 1}) div {num + den})")
-    return pairs.where(near).select("u", "v").distinct()
-
-
-def _meet(left: DataFrame, right: DataFrame, num: int, den: int, distinct_rows) -> DataFrame:
-    """Pairs (u, nu, v, nv), u < v, of rows of one token and of different groups whose sizes fit."""
-    a, b = left.alias("a"), right.alias("b")
-    fits = (F.col("a.token") == F.col("b.token")) & (F.col("a.grp") != F.col("b.grp")) & distinct_rows
-    fits &= den * F.least("a.n", "b.n") >= num * F.greatest("a.n", "b.n")
-    low, high = F.struct("a.cid", "a.n"), F.struct("b.cid", "b.n")
-    both = a.join(b, fits).select(F.least(low, high).alias("x"), F.greatest(low, high).alias("y"))
-    return both.select(F.col("x.cid").alias("u"), F.col("x.n").alias("nu"), F.col("y.cid").alias("v"), F.col("y.n").alias("nv"))
+
+def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """(doc_id, n_shingles, n_links, component_id) of every row; similarity num / den or more of k-word shingles links."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    texts = texts.select("doc_id", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(7), "text").alias("h2"), "text")
+    rows = materialize(texts.select("doc_id", "h1", "h2", F.octet_length("text").cast("long").alias("size")), "texts")
+    classes = materialize(rows.groupBy("h1", "h2").agg(F.min("doc_id").alias("cid"), F.count("doc_id").alias("weight"), F.max("size").alias("size")), "classes")
+    bits = max(LEAST_BUCKETS, ((classes.agg(F.sum("size")).first()[0] or 0) // (5 * BUCKET)).bit_length())
+    reps = classes.select("cid", F.col("h1").alias("r1"), F.col("h2").alias("r2"))
+    few = small(reps)
+    read = texts.join(few, F.col("doc_id").eqNullSafe(F.col("cid")) & (F.col("h1") == F.col("r1")) & (F.col("h2") == F.col("r2")), "left_semi").select("doc_id", "h1", "h2", "text")
+    if few is reps:  # dealt out anew: written, so that a block holds the same documents whenever a task runs again
+        read = materialize(read, "representatives")
+    pieces = read.mapInArrow(_blocks(k, bits), "bucket int, block long, payload binary")
+    lists = pieces.repartition("bucket").sortWithinPartitions("bucket", "block").mapInArrow(_lists, "block long, kind int, payload binary")
+    known = lists.repartition("block").sortWithinPartitions("block", "kind").mapInArrow(_documents(num, den), "doc_id long, n long, h1 long, h2 long, need long, tokens binary")
+    known = materialize(known.dropDuplicates(["h1", "h2"]), "shingles")
+    if few is reps:
+        drop_table(read)
+
+    active = known.where("need > 0").join(classes.select("h1", "h2", "weight"), ["h1", "h2"])
+    met = known.where("need > 0").select("doc_id", "need", "tokens").mapInArrow(_first_lists, "token long, doc long")
+    met = materialize(met.distinct(), "lists")
+    least = met.groupBy("token").agg(F.min("doc").alias("lo"), F.count("*").alias("c")).where("c > 1").select("token", "lo")
+    units = connected_components(met.join(least, "token").select(F.col("lo").alias("u"), F.col("doc").alias("v")))
+    drop_table(met)
+    sizes = units.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks"))
+    dealt = units.join(sizes, "component").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    # block b of a unit meets every block: (i, j) with i <= j and b one of them
+    dealt = dealt.select(F.col("component").alias("unit"), "node", "own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+    dealt = dealt.select("unit", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node")
+    key = ["unit", "i", "j"]
+    asked = dealt.join(active, dealt.node == active.doc_id).select(*key, "own", "doc_id", "n", "weight", "tokens")
+    found = materialize(asked.repartition(*key).sortWithinPartitions(*key, "doc_id").mapInArrow(_search(num, den), "a long, w long, b long"), "links")
+
+    # rows of one doc_id and several texts are one node
+    several = rows.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("c")).where("c > 1").select("doc_id")
+    same = rows.where("size > 0").join(several, "doc_id", "left_semi").join(classes, ["h1", "h2"]).select(F.col("doc_id").alias("u"), F.col("cid").alias("v"))
+    roots = connected_components(found.where("b is not null").select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(same))
+    counts = found.groupBy("a").agg(F.sum("w").alias("linked"))
+    of = classes.join(known.select("h1", "h2", "n"), ["h1", "h2"]).join(roots, F.col("cid") == roots.node, "left").join(counts, F.col("cid") == counts.a, "left")
+    of = of.select("h1", "h2", "n", F.coalesce("component", "cid").alias("component"), (F.coalesce("linked", F.lit(0)) + F.col("weight") - 1).alias("links"))
+    links = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("links")).otherwise(F.lit(0).cast("long"))
+    component = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("component")).otherwise(F.col("doc_id"))
+    return rows.select("doc_id", "h1", "h2").join(of, ["h1", "h2"]).select("doc_id", F.col("n").alias("n_shingles"), links.alias("n_links"), component.alias("component_id"))
