@@ -25,7 +25,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_table, materialize, small
+from .common import materialize, small
 
 #: Common words by language.
 COMMON_WORDS = {
@@ -45,6 +45,7 @@ MIN_CHARS, CHAR_LIMIT, CHAR_NOISE = 150, 0.25, 1.0
 MIN_COUNTED, WORD_LIMIT, WORD_NOISE = 20, 0.35, 0.6
 #: documents of MIN_CHARS or more that make a reference of a language
 MIN_SEEN = 10
+ADDED = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "char_distance", "word_distance", "base_failed", "kept"]
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -128,17 +129,11 @@ def references(measures: DataFrame) -> DataFrame:
     return rows.where(F.col("_seen") >= MIN_SEEN).select("_lang", share(F.col("_c")).alias("_ref_chars"), F.when(F.size(listed) > 0, share(listed)).alias("_ref_words"))
 
 
-def quality_rules(docs: DataFrame, keep_text: bool = True) -> DataFrame:
-    """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, char_distance, word_distance, base_failed and kept. The measures are written to a scratch table, so that texts are read once; where the text is kept they are read twice instead of being written again."""
-    added = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "char_distance", "word_distance", "base_failed", "kept"]
-    m = measured(docs.drop(*added))
-    slim = materialize(m.select("_lang", "_m", "_chars") if keep_text else m.drop("text"), "measures")
+def judged(docs: DataFrame) -> DataFrame:
+    """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, char_distance, word_distance, base_failed and kept, and drops the text. Texts are read once: the measures are written, summed for the references and judged."""
+    m = materialize(measured(docs.drop(*ADDED)).drop("text"), "measures")
     total = F.aggregate("_chars", F.lit(0).cast("long"), lambda a, x: a + x)
-    shares = materialize(references(slim), "references")
-    if keep_text:
-        drop_table(slim)
-    else:
-        m = slim
+    shares = materialize(references(m), "references")
     m = m.join(small(shares, len(CLASSES) + 1 + max(map(len, COMMON_WORDS.values()))), "_lang", "left")
     chars, words = distance(F.col("_chars"), F.col("_ref_chars")), distance(F.col("_m.c"), F.col("_ref_words"))
     m = m.withColumns({"n_words": F.col("_m.n"), "n_repeat_words": F.col("_m.r"), "n_symbols": F.get("_chars", F.lit(CLASSES.index(SYMBOLS)))})
@@ -146,3 +141,24 @@ def quality_rules(docs: DataFrame, keep_text: bool = True) -> DataFrame:
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     strange = F.coalesce((F.col("_total") >= MIN_CHARS) & (F.col("char_distance") > CHAR_LIMIT + CHAR_NOISE / F.sqrt("_total")), F.lit(False)) | F.coalesce((F.col("n_words") >= MIN_COUNTED) & (F.col("word_distance") > WORD_LIMIT + WORD_NOISE / F.sqrt("n_words")), F.lit(False))
     return m.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & ~strange).drop("_lang", "_m", "_chars", "_total", "_ref_chars", "_ref_words")
+
+
+def text_keys(docs: DataFrame) -> DataFrame:
+    """Adds _h1 and _h2, 128 bits that stand for the text and the language: all that a verdict depends on."""
+    return docs.withColumns({"_h1": F.xxhash64("text", "lang"), "_h2": F.xxhash64(F.lit(7), "text", "lang")})
+
+
+def quality_rules(docs: DataFrame, keep_text: bool = True) -> DataFrame:
+    """docs with the columns of judged(). With the text, each distinct text and language is judged once and its verdict joined back."""
+    if not keep_text:
+        return judged(docs)
+    docs = docs.drop(*ADDED)
+    verdicts = materialize(judged(text_keys(docs).select("_h1", "_h2", "text", "lang")).drop("lang").dropDuplicates(["_h1", "_h2"]), "verdicts")
+    return text_keys(docs).join(small(verdicts, 12), ["_h1", "_h2"]).drop("_h1", "_h2").select(*docs.columns, *ADDED)
+
+
+def passing(docs: DataFrame) -> DataFrame:
+    """The rows of docs that the rules keep, as they are. Only the keys of rejected texts are joined."""
+    found = judged(text_keys(docs).select("_h1", "_h2", "text", "lang"))
+    gone = materialize(found.where(~F.col("kept")).select("_h1", "_h2").distinct(), "rejected")
+    return text_keys(docs).join(small(gone), ["_h1", "_h2"], "left_anti").select(*docs.columns)
