@@ -8,7 +8,9 @@ permutation of the values of its own format: cards stay Luhn-valid, IBANs keep
 their checksum, dates stay dates, layout and punctuation stay. As the
 permutation depends on key, kind and size alone, equal values have equal
 pseudonyms in all documents, and different ones differ; with the key it can be
-undone (`reveal`).
+undone (`reveal`): what decides how a value is read (which fields of a date have
+one digit or can only be a day, whether a secret is hexadecimal) is kept by the
+permutation, so a pseudonym is read as its value was. There is no default key.
 
 Cases: null text stays null; texts are searched whole; equal rows give equal
 results; what only looks like a kind but fails its validation is left alone;
@@ -29,7 +31,6 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-KEY = b"strata: set your own key"
 ROUNDS = 10
 #: characters beyond which a value is permuted digit by digit, not as one number
 LONG = 256
@@ -180,8 +181,11 @@ def _card(m: str, f: Feistel) -> str | None:
     d = _digits(m)
     if luhn(d[:-1]) != int(d[-1]) or len(set(d)) == 1:
         return None
-    body = str(f.number(int(d[:-1]), 10 ** (len(d) - 1), "card")).zfill(len(d) - 1)
-    return _put(m, body + str(luhn(body)))
+    new = d
+    while new is d or len(set(new)) == 1:  # one digit repeated is no card
+        body = str(f.number(int(new[:-1]), 10 ** (len(d) - 1), "card")).zfill(len(d) - 1)
+        new = body + str(luhn(body))
+    return _put(m, new)
 
 
 def _iban_number(s: str) -> int:
@@ -190,7 +194,7 @@ def _iban_number(s: str) -> int:
 
 def _iban(m: str, f: Feistel) -> str | None:
     s = m.replace(" ", "")
-    if not 15 <= len(s) <= 34 or _iban_number(s) % 97 != 1:
+    if not 15 <= len(s) <= 34 or _iban_number(s) % 97 != 1 or not 2 <= int(s[2:4]) <= 98:
         return None
     body = f.text(s[4:], "iban")
     new = iter(s[:2] + f"{98 - _iban_number(s[:2] + '00' + body) % 97:02d}" + body)
@@ -220,10 +224,25 @@ def _phone(m: str, f: Feistel) -> str | None:
     return _put(m, d[:keep] + str(f.number(int(d[keep:]), 10**n, "phone")).zfill(n))
 
 
-_DAY_ONE, _DAYS = datetime.date(1800, 1, 1).toordinal(), datetime.date(2200, 1, 1).toordinal() - datetime.date(1800, 1, 1).toordinal()
+_FIRST_YEAR, _LAST_YEAR = 1800, 2199
+
+
+@functools.cache
+def _calendar() -> tuple[dict[tuple, list[int]], dict[int, tuple[tuple, int]]]:
+    """The days of all years by class, and each day's class and rank: months and days of one digit, days of two that may be a month, and days that may not."""
+    by: dict[tuple, list[int]] = {}
+    rank: dict[int, tuple[tuple, int]] = {}
+    for n in range(datetime.date(_FIRST_YEAR, 1, 1).toordinal(), datetime.date(_LAST_YEAR + 1, 1, 1).toordinal()):
+        day = datetime.date.fromordinal(n)
+        kind = (day.month > 9, (day.day > 9) + (day.day > 12))
+        of = by.setdefault(kind, [])
+        rank[n] = (kind, len(of))
+        of.append(n)
+    return by, rank
 
 
 def _date(m: str, f: Feistel) -> str | None:
+    """Days are permuted within their class, whatever the layout: fields keep their number of digits, and a day that shows which field is the month still does."""
     sep = next(c for c in m if c not in DIGITS)
     p = m.split(sep)
     y, mo, d = (p[0], p[1], p[2]) if sep == "-" else (p[2], p[1], p[0])
@@ -231,23 +250,32 @@ def _date(m: str, f: Feistel) -> str | None:
     if swapped:
         mo, d = d, mo
     try:
-        day = datetime.date(int(y), int(mo), int(d)).toordinal() - _DAY_ONE
+        day = datetime.date(int(y), int(mo), int(d)).toordinal()
     except ValueError:
         return None
-    if not 0 <= day < _DAYS:
+    by, rank = _calendar()
+    if day not in rank:
         return None
-    new = datetime.date.fromordinal(f.number(day, _DAYS, "date") + _DAY_ONE)
+    kind, at = rank[day]
+    new = datetime.date.fromordinal(by[kind][f.number(at, len(by[kind]), f"date{kind}")])
+    day_field, month_field = str(new.day).zfill(len(d)), str(new.month).zfill(len(mo))
     if sep == "-":
-        return new.isoformat()
-    wide = (lambda v: f"{v:02d}") if len(mo) == 2 and len(d) == 2 else str
-    first, second = (new.month, new.day) if swapped else (new.day, new.month)
-    return f"{wide(first)}{sep}{wide(second)}{sep}{new.year}"
+        return f"{new.year}-{month_field}-{day_field}"
+    return f"{month_field if swapped else day_field}{sep}{day_field if swapped else month_field}{sep}{new.year}"
+
+
+def _hexadecimal(s: str) -> bool:
+    return re.fullmatch("[0-9a-f]+", s) is not None and any(c in DIGITS for c in s)
 
 
-def _secret(m: str, f: Feistel) -> str | None:
-    if re.fullmatch("[0-9a-f]+", m) and any(c in DIGITS for c in m):
-        return f.hexadecimal(m, "secret")
-    return f.text(m, "secret")
+def _secret(m: str, f: Feistel) -> str:
+    """Walked on until the image is hexadecimal exactly if the value is."""
+    kind = _hexadecimal(m)
+    step = f.hexadecimal if kind else f.text
+    new = step(m, "secret")
+    while _hexadecimal(new) != kind:
+        new = step(new, "secret")
+    return new
 
 
 KINDS: dict[str, Callable[[str, Feistel], str | None]] = {"email": _email, "ip": _ip, "card": _card, "iban": _iban, "ssn": _ssn, "phone": _phone, "date": _date, "access": lambda m, f: m[:4] + f.text(m[4:], "access")}
@@ -261,12 +289,14 @@ def replace(text: str, f: Feistel) -> tuple[str, list[tuple[str, int, int]]]:
     while m := _FIND.search(text, pos):
         kind = m.lastgroup if m.lastgroup in KINDS else next(k for k in ("secret", *KINDS) if m[k] is not None)
         start, end = m.span("value") if kind == "secret" else m.span()
-        new = _secret(m["value"], f) if kind == "secret" else KINDS[kind](m[0], f)
-        if kind == "card" and new is None:  # a card and the number after it
-            for cut in (m.start() + i for i, c in enumerate(m[0]) if c in " -"):
+        if kind == "card":  # maybe with a number after it: the first place where a valid one ends
+            new = None
+            for cut in [*(m.start() + i for i, c in enumerate(m[0]) if c in " -"), end]:
                 if 13 <= len(_digits(text[start:cut])) <= 19 and (new := _card(text[start:cut], f)):
                     end = cut
                     break
+        else:
+            new = _secret(m["value"], f) if kind == "secret" else KINDS[kind](m[0], f)
         if new is None:
             pos = m.end() if m.end() > pos else pos + 1
             later = _FIND.search(text, m.start() + 1, m.end())
@@ -279,7 +309,7 @@ def replace(text: str, f: Feistel) -> tuple[str, list[tuple[str, int, int]]]:
     return "".join(out) + text[at:], spans
 
 
-def pseudonymize(docs: DataFrame, key: bytes = KEY, forward: bool = True) -> DataFrame:
+def pseudonymize(docs: DataFrame, key: bytes, forward: bool = True) -> DataFrame:
     """docs with the text replaced, and n_pii, pii_kinds and pii_spans (start and end in the given text)."""
     docs = docs.drop("n_pii", "pii_kinds", "pii_spans")
     names = docs.columns
@@ -298,6 +328,6 @@ def pseudonymize(docs: DataFrame, key: bytes = KEY, forward: bool = True) -> Dat
     return docs.mapInArrow(run, f"{schema}, n_pii int, pii_kinds array<string>, pii_spans array<array<int>>")
 
 
-def reveal(docs: DataFrame, key: bytes = KEY) -> DataFrame:
+def reveal(docs: DataFrame, key: bytes) -> DataFrame:
     """Undo pseudonymize() with the same key."""
     return pseudonymize(docs, key, forward=False)
