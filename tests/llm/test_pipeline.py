@@ -14,6 +14,7 @@ import corpus_pipeline  # noqa: E402
 from tokenizers import Tokenizer  # noqa: E402
 
 from strata.llm import linededup, pii  # noqa: E402
+from strata.llm.queries import pii_key  # noqa: E402
 
 from .test_operators import SF, brute_jaccard  # noqa: E402
 
@@ -32,7 +33,7 @@ def test_run(spark):
     kept = [r.doc_id for r in corpus_pipeline.quality_stage(spark, corpus_pipeline.documents(spark, SF), SF).collect()]
     texts = drop_lines({d: docs[d] for d in kept})
     texts = {d: texts[d] for d, (_, c) in brute_jaccard(list(texts.items()), 5, 80, 100).items() if c == d}
-    f, t, want = pii.Feistel(pii.KEY), Tokenizer.from_file(P.path("word_bpe_49k.json")), Counter()
+    f, t, want = pii.Feistel(pii_key(spark)), Tokenizer.from_file(P.path("word_bpe_49k.json")), Counter()
     for d, text in texts.items():
         x = np.append(np.array(t.encode(pii.replace(text, f)[0], add_special_tokens=False).ids, "<u4"), 0).astype("<u4")
         want.update((d, k // 2048, len(x[k : k + 2048]), zlib.crc32(x[k : k + 2048].tobytes())) for k in range(0, len(x), 2048))
