@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from strata.llm import linededup, ngramjoin, packing, pii, quality
 from strata.llm.common import documents, materialize
+from strata.llm.queries import pii_key
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -23,7 +24,7 @@ def _measured(docs: DataFrame) -> DataFrame:
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
-    return quality.quality_rules(docs.select(*COLUMNS)).where("kept").select(*COLUMNS)
+    return quality.passing(docs.select(*COLUMNS))
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +41,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is replaced by pseudonyms."""
-    return _measured(pii.pseudonymize(docs.select(*COLUMNS)))
+    return _measured(pii.pseudonymize(docs.select(*COLUMNS), pii_key(spark)))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
