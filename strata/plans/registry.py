@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import activity, convert, entities, text
 from ..operators import mining, reports, retrieval
-from . import synth
+from . import match_sql, synth
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -228,7 +228,7 @@ def convert_values(spark, d):
 
 
 def filename_parse(spark, d):
-    r = report_rows(spark, d).select(F.when(F.crc32("pdf_path") % 5 == 0, F.concat(F.lit("x"), F.col("pdf_path"))).when(F.crc32("pdf_path") % 5 == 1, F.replace(F.col("pdf_path"), F.lit("_2024_01"), F.lit("_2024_13"))).otherwise(F.concat(F.lit("dir/"), F.col("pdf_path"))).alias("path"))
+    r = report_rows(spark, d).select(F.when(F.col("n_ops") % 5 == 0, F.concat(F.lit("x"), F.col("pdf_path"))).when(F.col("n_ops") % 5 == 1, F.replace(F.col("pdf_path"), F.lit("_2024_01"), F.lit("_2024_13"))).otherwise(F.concat(F.lit("dir/"), F.col("pdf_path"))).alias("path"))
     p = text.file_parts(F.col("path"))
     return r.select("path", p["prefix"].alias("prefix"), p["family"].alias("family"), p["report_date"].alias("report_date"))
 
@@ -289,6 +289,8 @@ CASE WHEN o_orderkey % 8 >= 6 THEN CAST(o_orderdate AS DATE) END AS as_date FROM
         "well_keys": "SELECT c_custkey, '15_9_F_' || CAST(c_custkey % 20 AS VARCHAR) AS family FROM customer",
         "compact_number": "SELECT x, y, format('{:g}', x) AS x_text, format('{:g}', floor(y)) AS y_text FROM (SELECT DISTINCT CAST(CAST(l_quantity * l_discount * 100 AS DECIMAL(12,3)) AS DOUBLE) AS x, l_extendedprice AS y FROM lineitem)",
         "text_normalize": r + "SELECT pdf_path, 'Wellbore: ' || well_family || chr(10) || 'Start time Summary of circulating at 23:00 00:00, letter ok: ' || pdf_path AS normalized FROM reports",
+        "filename_parse": r + match_sql.filename_sql(),
+        "query_clean": f"""SELECT item_id, {match_sql.clean("('\"\"' || text || ' excesive  load at at 26\"\"\"\" ')")} AS cleaned FROM benchmark""",
         "pages_scan": r"SELECT page_id, string_split(url, '/')[-1] AS basename, CAST(length(p) AS BIGINT) AS n_chars, substr(p, 1, 120) AS start FROM (SELECT page_id, url, regexp_replace(regexp_replace(regexp_replace(html, '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g'), '^\s+|\s+$', '', 'g') AS p FROM pages)",
     }
 
@@ -326,7 +328,14 @@ def problem_counts(spark, d):
 def _entity_sql() -> dict[str, str]:
     o = _cte(OPS)
     words = "|".join(sorted(entities.PROBLEMS, key=len, reverse=True))
+    found = o.replace("WITH ", "WITH RECURSIVE ", 1).rstrip() + ", " + match_sql.entity_ctes()
+    four, asked = match_sql.sets("op_text"), match_sql.sets("q")
+    listed = lambda of: ", ".join(f"{v} AS {k}" for k, v in of.items())
     return {
+        "ner_entities": found + " SELECT f.op_id, o.pdf_path, o.well_family, o.report_date, m AS entity_text, label AS entity_label, value AS entity_value, unit AS entity_unit, CAST(s - 1 AS INT) AS char_start, CAST(e - 1 AS INT) AS char_end FROM found f JOIN ops o ON f.op_id = o.op_id",
+        "ner_label_counts": found + " SELECT label AS entity_label, count(*) AS n FROM found GROUP BY 1",
+        "entity_sets": o + f"SELECT op_id, {', '.join(f"coalesce(array_to_string({v}, ','), '') AS {k}" for k, v in four.items())} FROM ops",
+        "entity_overlap": o.rstrip() + f", e AS (SELECT {listed(asked)} FROM (SELECT 'Tight hole at 500 m on 17.5\" BHA, POOH' AS q)), s AS (SELECT op_id, {listed(four)} FROM ops) SELECT op_id, round({match_sql.overlap('s', 'e')}, 6) AS overlap FROM s, e",
         "ner_times": o + r"SELECT op_id, m AS entity_value, CAST(instr(remark, m) - 1 AS INT) AS char_start, CAST(instr(remark, m) + 4 AS INT) AS char_end FROM (SELECT op_id, remark, unnest(regexp_extract_all(remark, '\b(?:[01]\d|2[0-3]):[0-5]\d\b')) AS m FROM ops WHERE remark <> '')",
         "problem_counts": o + f"SELECT problem, count(*) AS n FROM (SELECT DISTINCT op_id, lower(unnest(regexp_extract_all(op_text, '(?i)\\b({words})\\b', 1))) AS problem FROM ops) GROUP BY 1",
     }
@@ -341,7 +350,17 @@ def report_documents(spark, d):
 
 def tfidf_keywords(spark, d):
     docs = report_documents(spark, d)
-    return retrieval.top_keywords(docs, "pdf_path", "doc_text", docs.count())
+    return retrieval.top_keywords(docs, "pdf_path", "doc_text", docs.count()).join(docs.select("pdf_path", "pdf_filename", "well_family"), "pdf_path")
+
+
+def keywords_head(spark, d):
+    """The keywords of the first three reports."""
+    return mining.sample_rows(tfidf_keywords(spark, d), "pdf_filename", 3, seed=None)
+
+
+def nlp_summary(spark, d):
+    o = ops(spark, d)
+    return mining.run_summary({"operations": o, "reports": report_rows(spark, d), "activity_rows": mining.activity_tags(o), "keyword_rows": tfidf_keywords(spark, d), "failure_rows": mining.failure_patterns(o), "severity_rows": mining.severity_scores(o), "transitions": mining.transitions(o)})
 
 
 def document_keywords(spark, d):
@@ -350,15 +369,12 @@ def document_keywords(spark, d):
 
 
 def keywords_per_well(spark, d):
-    k = tfidf_keywords(spark, d).join(report_rows(spark, d).select("pdf_path", "well_family"), "pdf_path")
-    return mining.keywords_per_well(k)
+    return mining.keywords_per_well(tfidf_keywords(spark, d))
 
 
 def tfidf_match(spark, d):
     o = ops(spark, d).where("length(trim(op_text)) > 0")
-    e = event_rows(spark)
-    s = retrieval.sparse_scores(e, o, retrieval.scope(e, o), o.count()).withColumn("score", F.round("score", 6))
-    return retrieval.ranked(s, 5).select("event_id", "op_id", "rank", "score")
+    return retrieval.sparse_top(event_rows(spark), o, 5, o.count()).select("event_id", "op_id", "rank", F.round("score", 6).alias("score"))
 
 
 def _vectors(spark, d):
@@ -370,12 +386,10 @@ def _vectors(spark, d):
 
 
 def dense_topk(spark, d):
-    """Nearest vectors of ten stated ones, against all."""
+    """Nearest vectors of the stated ones (every id divisible by 100), against all."""
     v = table(spark, d, "embeddings")
-    q = v.where("vec_id < 10").select(F.col("vec_id").alias("event_id"), F.col("embedding").alias("qvec"))
-    pairs = v.select(F.col("vec_id").alias("op_id"), F.col("embedding").alias("vec"), F.explode(F.array(*[F.lit(i).cast("long") for i in range(10)])).alias("event_id")).join(F.broadcast(q), "event_id")
-    s = pairs.select("event_id", "op_id", F.round(retrieval.dot(F.col("qvec"), F.col("vec")), 6).alias("score"))
-    return retrieval.ranked(s, 10)
+    q = v.where("vec_id % 100 = 0").select(F.col("vec_id").alias("event_id"), F.col("embedding").alias("qvec"))
+    return retrieval.nearest(q, v.select(F.col("vec_id").alias("op_id"), F.col("embedding").alias("vec")), 10)
 
 
 def matches(spark, d):
@@ -387,9 +401,14 @@ def match_benchmark(spark, d):
     return retrieval.benchmark(matches(spark, d))
 
 
+def matching_summary(spark, d):
+    m = matches(spark, d)
+    return mining.matching_summary(event_rows(spark), m, retrieval.benchmark(m))
+
+
 def _retrieval_sql() -> dict[str, str]:
     stop = ", ".join(_quote(w) for w in sorted({*retrieval.english_stop_words(), *retrieval.DOMAIN_STOP}))
-    docs = """docs AS (SELECT r.pdf_path, r.well_family, regexp_replace(coalesce(summary_24h, '') || chr(10) || coalesce(planned_24h, '') || chr(10) || coalesce(t, ''), '^\\s+|\\s+$', '', 'g') AS doc_text, coalesce(n, 0) AS n_ops
+    docs = """docs AS (SELECT r.pdf_path, string_split(r.pdf_path, '/')[-1] AS pdf_filename, r.well_family, regexp_replace(coalesce(summary_24h, '') || chr(10) || coalesce(planned_24h, '') || chr(10) || coalesce(t, ''), '^\\s+|\\s+$', '', 'g') AS doc_text, coalesce(n, 0) AS n_ops
 FROM reports r LEFT JOIN (SELECT pdf_path, string_agg(remark, chr(10) ORDER BY op_index, op_id) AS t, count(*) AS n FROM ops WHERE remark IS NOT NULL GROUP BY 1) s ON r.pdf_path = s.pdf_path)"""
 
     def weights(src: str, key: str, txt: str, pattern: str, words: str, least: str, most: str, group: str) -> str:
@@ -403,12 +422,25 @@ raw AS (SELECT {key}, cnt.term, (1.0 + ln(tf)) * idf AS w FROM cnt JOIN idf ON c
     word = r"\b[a-zA-Z][a-zA-Z\-]{2,}\b"
     ranked = lambda key: f"SELECT {key}, rank, keyword, tfidf_score FROM (SELECT {key}, term AS keyword, round(weight, 6) AS tfidf_score, CAST(row_number() OVER (PARTITION BY {key} ORDER BY round(weight, 6) DESC, term) AS INT) AS rank FROM wt) WHERE rank <= 10 AND tfidf_score > 0"
     keywords = weights("docs", "pdf_path", "doc_text", word, f"w NOT IN ({stop})", "3", "0.6", "wt")
+    named = f"SELECT k.*, r.pdf_filename, r.well_family FROM ({ranked('pdf_path')}) k JOIN docs r ON k.pdf_path = r.pdf_path"
+    # letters beyond ASCII count as word characters that no keyword holds
+    plain = r"plain AS (SELECT doc_id, regexp_replace(regexp_replace(lower(text), '[^\p{L}\p{M}\p{Nd}\p{Pc}\x00-\x7F]', ' ', 'g'), '[^\x00-\x7F]', '_', 'g') AS t FROM documents)"
+    matched = _cte(OPS, match_sql.match_ctes(EVENTS))
+    known = _analytics_sql()
+    counted = {"operations": _cte(OPS) + "SELECT * FROM ops", "reports": _cte(REPORTS) + "SELECT * FROM reports", "activity_rows": known["activity_tags"], "keyword_rows": _cte(OPS, REPORTS, docs, keywords) + ranked("pdf_path"), "failure_rows": known["failure_patterns"], "severity_rows": known["severity_scores"], "transitions": known["activity_transitions"]}
     dots = "round(list_dot_product(CAST(q.embedding AS DOUBLE[]), CAST(v.embedding AS DOUBLE[])), 6)"
     return {
         "report_documents": _cte(OPS, REPORTS, docs) + "SELECT * FROM docs",
-        "tfidf_keywords": _cte(OPS, REPORTS, docs, keywords) + ranked("pdf_path"),
+        "tfidf_keywords": _cte(OPS, REPORTS, docs, keywords) + named,
+        "keywords_head": _cte(OPS, REPORTS, docs, keywords) + f"SELECT * FROM ({named}) WHERE pdf_filename IN (SELECT DISTINCT pdf_filename FROM ({named}) ORDER BY 1 LIMIT 3)",
+        "document_keywords": _cte(plain, weights("plain", "doc_id", "t", word, f"w NOT IN ({stop})", "3", "0.6", "wt")) + ranked("doc_id"),
+        "tfidf_match": _cte(OPS, match_sql.sparse_ctes(EVENTS)) + "SELECT event_id, op_id, rank, round(score, 6) AS score FROM (SELECT *, CAST(row_number() OVER (PARTITION BY event_id ORDER BY score DESC, op_id) AS INT) AS rank FROM sparse) WHERE rank <= 5",
+        "matches": matched + "SELECT * FROM matches",
+        "match_benchmark": matched + "SELECT * FROM bench",
+        "matching_summary": matched + "SELECT * FROM (SELECT count(*) AS n_events, count(*) FILTER (WHERE has_pdf_corpus) AS n_strict_events, count(*) FILTER (WHERE NOT has_pdf_corpus) AS n_fallback_events FROM ev), (SELECT count(*) AS n_match_rows FROM matches), (SELECT count(*) AS n_benchmark_rows, count(*) FILTER (WHERE all_methods_agree) AS all_methods_agree FROM bench), (SELECT CAST(4 AS INT) AS n_methods, CAST(5 AS INT) AS top_k)",
+        "nlp_summary": f"SELECT * FROM {', '.join(f'(SELECT count(*) AS n_{n} FROM ({q}))' for n, q in counted.items())}",
         "keywords_per_well": _cte(OPS, REPORTS, docs, keywords) + f"SELECT well_family, keyword, n_reports FROM (SELECT r.well_family, keyword, count(*) AS n_reports, row_number() OVER (PARTITION BY r.well_family ORDER BY count(*) DESC, keyword) AS k FROM ({ranked('pdf_path')}) x JOIN reports r ON x.pdf_path = r.pdf_path GROUP BY 1, 2) WHERE k <= 20",
-        "dense_topk": f"SELECT event_id, op_id, score, CAST(rank AS INT) AS rank FROM (SELECT q.vec_id AS event_id, v.vec_id AS op_id, {dots} AS score, row_number() OVER (PARTITION BY q.vec_id ORDER BY {dots} DESC, v.vec_id) AS rank FROM embeddings q, embeddings v WHERE q.vec_id < 10) WHERE rank <= 10",
+        "dense_topk": f"SELECT event_id, op_id, score, CAST(rank AS INT) AS rank FROM (SELECT q.vec_id AS event_id, v.vec_id AS op_id, {dots} AS score, row_number() OVER (PARTITION BY q.vec_id ORDER BY {dots} DESC, v.vec_id) AS rank FROM embeddings q, embeddings v WHERE q.vec_id % 100 = 0) WHERE rank <= 10",
     }
 
 
@@ -482,7 +514,7 @@ QUERIES = [
     reports_per_well, ops_per_well, parse_quality, top_activity_pairs, reports_per_well_year, pivot_year, table_counts, error_summary, distinct_counts, score_histogram, unknown_wells, containment,
     convert_values, filename_parse, abbrev_expand, query_clean, compact_number, well_keys, text_normalize, pages_scan,
     ner_entities, ner_label_counts, ner_times, entity_sets, entity_overlap, problem_counts,
-    report_documents, tfidf_keywords, document_keywords, keywords_per_well, tfidf_match, dense_topk, matches, match_benchmark,
+    report_documents, tfidf_keywords, document_keywords, keywords_per_well, keywords_head, nlp_summary, tfidf_match, dense_topk, matches, match_benchmark, matching_summary,
     parse_header, parse_operations, parse_fluid, parse_pore, parse_survey, parse_lithology, parse_gas,
 ]
 
