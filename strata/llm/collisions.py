@@ -45,6 +45,8 @@ SEED, COUNTED, COUNT_SIGMA = 20_260, 32, 4.5
 CELL, WINDOW_SIGMA, RECALL = 1.5, 1.645, 0.995
 #: unrelated vectors that a vector meets in a cell, and rows of a block
 STRANGERS, BLOCK = 8, 1500
+#: rows of a unit whose pairs are all counted, and rows of the units that are counted at once
+SMALL, TOGETHER = 64, 4000
 
 
 def _within(x: float) -> float:
@@ -64,6 +66,11 @@ def plan(n: int, threshold: float) -> tuple[int, int]:
     return g, max(1, math.ceil(math.log(1 - RECALL) / math.log(1 - near**g)))
 
 
+@lru_cache(maxsize=128)
+def _pairs(n: int) -> tuple[np.ndarray, np.ndarray]:
+    return np.triu_indices(n, 1)
+
+
 @lru_cache(maxsize=8)
 def _directions(dim: int, n: int, seed: int) -> np.ndarray:
     return np.random.default_rng([seed, dim]).standard_normal((n, dim))
@@ -197,29 +204,75 @@ def _count(units: DataFrame, threshold: float, g: int, groups: int, seed: int) -
         return reps[at], n_links[at], reps[nodes[tree]], reps[root[tree]]
 
     def run(batches):
-        held, key = [], None
+        """Units come one after another; small ones are counted many at once."""
+        held, key, few, rows = [], None, [], 0
         for b in batches:
             cols = [b.column(k).to_pylist() for k in range(8)]
             for grp, code, i, j, own, rep, weight, vec in zip(*cols, strict=True):
                 k = (grp, code, i, j)
                 if k != key:
-                    yield from done(key, held)
+                    few, rows = few + by_length(key, held), rows + len(held)
+                    if rows > TOGETHER:
+                        yield from done(few)
+                        few, rows = [], 0
                     held, key = [], k
                 held.append((own, rep, weight, vec))
-        yield from done(key, held)
+        yield from done(few + by_length(key, held))
 
-    def done(key, held):
+    def by_length(key, held):
         by: dict[int, list] = {}
         for h in held:
             by.setdefault(len(h[3]), []).append(h)
-        for part in by.values():
-            if len(part) < 2:
+        return [(key, part) for part in by.values() if len(part) > 1]
+
+    def done(units):
+        small: dict[int, list] = {}
+        for key, part in units:
+            if len(part) <= SMALL:
+                small.setdefault(len(part[0][3]), []).append((key, part))
                 continue
             own, reps, weights = (np.array([h[k] for h in part]) for k in range(3))
-            out = unit(key[0], key[2], key[3], own, reps, weights, np.stack([np.frombuffer(h[3], np.float64) for h in part]))
-            if out:
-                a, w, u, v = out
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([a, u]), pa.int64()), pa.array(np.concatenate([w, np.zeros(len(u), np.int64)]), pa.int64()), pa.array(np.concatenate([np.zeros(len(a), np.int64), v]), pa.int64(), mask=np.arange(len(a) + len(u)) < len(a))], ["a", "w", "b"])
+            yield from given(unit(key[0], key[2], key[3], own, reps, weights, np.stack([np.frombuffer(h[3], np.float64) for h in part])))
+        for parts in small.values():
+            yield from given(together(parts))
+
+    def given(out):
+        if out:
+            a, w, u, v = out
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([a, u]), pa.int64()), pa.array(np.concatenate([w, np.zeros(len(u), np.int64)]), pa.int64()), pa.array(np.concatenate([np.zeros(len(a), np.int64), v]), pa.int64(), mask=np.arange(len(a) + len(u)) < len(a))], ["a", "w", "b"])
+
+    def together(units):
+        """Links of many small units: all pairs inside each, in one pass over their projections."""
+        rows = [h for _, part in units for h in part]
+        own, reps, weights = (np.array([h[k] for h in rows]) for k in range(3))
+        v = np.stack([np.frombuffer(h[3], np.float64) for h in rows])
+        p, c = v @ _directions(v.shape[1], COUNTED, seed + 1).T, _codes(v, g, groups, seed)
+        left, right, of, two, at = [], [], [], [], 0
+        for key, part in units:
+            x, y = _pairs(len(part))
+            left.append(x + at)
+            right.append(y + at)
+            of += [key[0]] * len(x)
+            two += [key[2] != key[3]] * len(x)
+            at += len(part)
+        left, right, of, two = np.concatenate(left), np.concatenate(right), np.array(of), np.array(two)
+        keep = np.flatnonzero(~two | (own[left] != own[right]))
+        found = []
+        for s in range(0, len(keep), 50_000):
+            k = keep[s : s + 50_000]
+            a, b = left[k], right[k]
+            ok = np.count_nonzero(np.abs(p[a] - p[b]) <= window, axis=1) >= least
+            a, b, k = a[ok], b[ok], k[ok]
+            ok = (c[a] == c[b]).argmax(axis=1) == of[k]  # else counted in an earlier group
+            a, b = a[ok], b[ok]
+            found.append(np.stack([a, b])[:, np.einsum("ij,ij->i", v[a], v[b]) >= threshold])
+        a, b = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
+        if not len(a):
+            return None
+        n_links = np.bincount(a, weights[b], len(rows)).astype(np.int64) + np.bincount(b, weights[a], len(rows)).astype(np.int64)
+        nodes, root = forest(reps[a], reps[b])
+        tree, at = nodes != root, np.flatnonzero(n_links)
+        return reps[at], n_links[at], nodes[tree], root[tree]
 
     key = ["grp", "code", "i", "j"]
     return units.select(*key, "own", "rep", "weight", "vec").repartition(*key).sortWithinPartitions(*key).mapInArrow(run, "a long, w long, b long")
