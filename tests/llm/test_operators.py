@@ -83,12 +83,12 @@ def test_memo_is_bounded():
 
 def test_rans_round_trip():
     r = np.random.default_rng(2)
-    for n, v in ((0, 5), (1, 1), (17, 3), (70_000, 40_000), (300_000, 50)):
+    for n, v in ((0, 5), (1, 1), (17, 3), (70_000, 40_000), (300_000, 50), (4 * rans.INTERVAL * rans.LANES, 50_000), (900_001, 9)):
         x = np.minimum(r.zipf(1.3, n) - 1, v - 1).astype(np.uint32)
         table = rans.Table.from_bytes(rans.Table.of(np.bincount(x, minlength=v)).to_bytes())
         raw = rans.encode_block(x, table)
         b = rans.Block(raw, table)
-        assert (b.ids() == x).all()
+        assert (b.ids() == x).all() and (np.concatenate([b.segment(k) for k in range(b.segments)] or [x]) == x).all()
         if b.segments > 1:  # a segment needs no other
             at = rans.INTERVAL * b.lanes
             assert (b.segment(1) == x[at : 2 * at]).all()
@@ -626,3 +626,63 @@ def test_line_dedup_of_many_lines(docs, odd, monkeypatch):
     monkeypatch.setattr(linededup, "SMALL_ROWS", -1)
     assert sorted(map(tuple, linededup.drop_boilerplate(docs).select("doc_id", "text", "n_dropped").collect())) == few
     assert linededup.drop_boilerplate(odd).count() == len(ODD)
+
+
+def test_recall_at_the_threshold(spark):
+    """Pairs whose cosine lies just above the threshold, in 64 dimensions, among unrelated vectors; none below it is linked."""
+    r = np.random.default_rng(21)
+    a = r.standard_normal((1500, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    side = r.standard_normal(a.shape)
+    side -= (side * a).sum(1, keepdims=True) * a
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    cos = np.concatenate([r.uniform(0.9501, 0.953, 1000), r.uniform(0.94, 0.9499, 500)])[:, None]
+    v = np.concatenate([a, cos * a + np.sqrt(1 - cos**2) * side, r.standard_normal((5000, 64))])
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>").repartition(8)
+    got = {x.vec_id: x for x in collisions.near_vectors(df, 0.95).collect()}
+    found = sum(got[i].n_links == 1 and got[1500 + i].component_id == i for i in range(1000))
+    assert found >= 985 and all(got[i].n_links == 0 for i in range(len(v)) if 1000 <= i < 1500 or 2500 <= i)
+
+
+def test_vectors_odd(spark):
+    rows = [(1, [1.0, 2.0]), (1, [1.0, 2.0]), (None, [1.0, 2.0]), (3, [2.0, 4.0]), (3, [5.0, -1.0]), (4, None)]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "vec_id long, embedding array<double>, kept string")
+    got = sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in collisions.near_vectors(df, 0.95).collect()), key=str)
+    assert len(got) == len(rows) and (None, 0, None, True) in got and (4, 0, 4, True) in got
+    assert sorted(r[1:3] for r in got if r[0] == 1) == [(2, 1), (2, 1)]
+
+
+def test_plan_bins_against_the_least():
+    """Few pieces: the fewest bins by search over all ways."""
+    def fewest(sizes, capacity):
+        best = len(sizes)
+        def go(i, room):
+            nonlocal best
+            if len(room) >= best:
+                return
+            if i == len(sizes):
+                best = len(room)
+                return
+            for k in {r: k for k, r in enumerate(room) if r >= sizes[i]}.values():
+                go(i + 1, [*room[:k], room[k] - sizes[i], *room[k + 1 :]])
+            go(i + 1, [*room, capacity - sizes[i]])
+        go(0, [])
+        return best
+
+    r, over = np.random.default_rng(13), 0
+    for _ in range(150):
+        sizes = sorted(r.integers(1, 31, int(r.integers(1, 11))).tolist(), reverse=True)
+        bins = {b + i // k for _, _, n, b, k, _ in packing.plan_bins(Counter(sizes), 30) for i in range(n)}
+        least = fewest(sizes, 30)
+        assert least <= len(bins) <= least + 1
+        over += len(bins) - least
+    assert over <= 8
+    sizes = Counter(r.integers(1, 2049, 20_000).tolist())
+    bins = {b + i // k for _, _, n, b, k, _ in packing.plan_bins(sizes) for i in range(n)}
+    assert len(bins) <= 1.01 * max(sum(n * c for n, c in sizes.items()) / 2048, sum(c for n, c in sizes.items() if n > 1024)) + 1
+
+
+@pytest.mark.parametrize("table", ["odd", "none"])
+def test_n_gram_links_odd(request, table):
+    rows = ngramjoin.jaccard_components(request.getfixturevalue(table)).collect()
+    assert all((r.doc_id is None or r.component_id == r.doc_id) for r in rows)
