@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import activity, convert, entities, text
 from ..operators import mining, reports, retrieval
+from ..sources import files
 from . import match_sql, synth
 
 
@@ -173,12 +174,22 @@ def table_counts(spark, d):
 
 
 def error_summary(spark, d):
-    """Rows that cannot be loaded go to quarantine and are counted by stage and message; the load goes on."""
-    rows = ops(spark, d).select("op_id", "pdf_path", F.when(F.col("op_id") % 97 == 0, F.lit("not a number")).otherwise(F.col("end_depth_md").cast("string")).alias("raw"))
-    bad = rows.where(F.col("raw").try_cast("double").isNull()).select("pdf_path", F.lit("load").alias("stage"), F.concat(F.lit("ValueError: "), F.col("raw")).alias("error_message"))
+    """What the decoder of a load could not read, by stage and message: pages as files, some of which are no text of a page."""
+    pages = table(spark, d, "pages").select(F.concat("url", F.lit("#"), "page_id").alias("path"), F.encode("html", "utf-8").alias("content"))
+    _, bad = files.decode_reports(pages, page_text)
     return mining.frequencies(bad, "stage", "error_message")
 
 
+def page_text(content: bytes) -> list[str]:
+    """The paragraphs of a page; a page without any cannot be read."""
+    html = content.decode()
+    if "<p>" not in html.lower():
+        raise ValueError("no paragraph")
+    if len(html) > 4000:
+        raise MemoryError(f"{len(html) // 1000} thousand characters")
+    return [html]
+
+
 def distinct_counts(spark, d):
     return mining.distinct_counts(ops(spark, d), "pdf_path", "well_family", "main_activity", "state")
 
@@ -208,10 +219,10 @@ def _inspection_sql() -> dict[str, str]:
         "reports_per_well_year": r + year,
         "pivot_year": r + f"SELECT well_family, CAST(coalesce(sum(n_reports) FILTER (WHERE year = 2023), 0) AS BIGINT) AS y2023, CAST(coalesce(sum(n_reports) FILTER (WHERE year = 2024), 0) AS BIGINT) AS y2024 FROM ({year}) GROUP BY 1",
         "table_counts": " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS n FROM {n}" for n in ("documents", "pages", "benchmark", "conversations", "embeddings")) + " UNION ALL SELECT 'gas_reading', -1",
-        "error_summary": o + "SELECT 'load' AS stage, 'ValueError: not a number' AS error_message, count(*) AS n FROM ops WHERE op_id % 97 = 0",
+        "error_summary": "SELECT 'parse' AS stage, CASE WHEN NOT contains(lower(html), '<p>') THEN 'ValueError: no paragraph' ELSE 'MemoryError: ' || CAST(length(html) // 1000 AS VARCHAR) || ' thousand characters' END AS error_message, count(*) AS n FROM pages WHERE NOT contains(lower(html), '<p>') OR length(html) > 4000 GROUP BY 1, 2",
         "distinct_counts": o + "SELECT count(DISTINCT pdf_path) AS n_pdf_path, count(DISTINCT well_family) AS n_well_family, count(DISTINCT main_activity) AS n_main_activity, count(DISTINCT state) AS n_state FROM ops",
         "score_histogram": o + "SELECT least(CAST(floor(end_depth_md / 200) AS BIGINT) + 1, 16) AS bin, count(*) AS n FROM ops GROUP BY 1",
-        "unknown_wells": "SELECT '15_9_F_13' AS well_family",
+        "unknown_wells": o + f"SELECT DISTINCT replace(replace(w, '/', '_'), '-', '_') AS well_family FROM (VALUES {', '.join(f"('{e[1]}')" for e in EVENTS)}) t(w) WHERE replace(replace(w, '/', '_'), '-', '_') NOT IN (SELECT well_family FROM ops)",
         "containment": o + "SELECT well_family, count(*) FILTER (WHERE coalesce(remark ILIKE '%casing%', false)) AS n_hits, count(*) FILTER (WHERE NOT coalesce(remark ILIKE '%casing%', false)) AS n_rest FROM ops GROUP BY 1",
     }
 

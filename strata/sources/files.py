@@ -45,7 +45,7 @@ def decode_reports(files: DataFrame, decode: Callable[[bytes], list[str]] = no_d
 
     got = files.select("path", "content").mapInPandas(run, "pdf_path string, raw string, error string")
     good = got.where("error is null").select("pdf_path", normalize_report(F.col("raw")).alias("text"))
-    bad = got.where("error is not null").select("pdf_path", F.lit("extract").alias("stage"), F.col("error").alias("error_message"), F.current_timestamp().cast("timestamp_ntz").alias("occurred_at"))
+    bad = got.where("error is not null").select("pdf_path", F.lit("parse").alias("stage"), F.col("error").alias("error_message"), F.current_timestamp().cast("timestamp_ntz").alias("occurred_at"))
     return good, bad
 
 
@@ -85,8 +85,20 @@ def pick_columns(rows: list[list[str | None]], wanted: list[str]) -> list[tuple[
     return [(k, *v) for k, v in enumerate((v for v in values if None not in v), 1)]
 
 
+def event_sheet(spark: SparkSession, path: str) -> DataFrame:
+    """(event_id, well_raw, event_text) of an xlsx file in any store that Spark reads."""
+    schema = "event_id int, well_raw string, event_text string"
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for content in b["content"]:
+                yield pd.DataFrame(pick_columns(sheet_rows(bytes(content)), ["Well", "Event"]), columns=["event_id", "well_raw", "event_text"])
+
+    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(run, schema)
+
+
 class EventSheet(DataSource):
-    """spark.read.format("event_sheet").load(path): (event_id, well_raw, event_text) of an xlsx file."""
+    """spark.read.format("event_sheet").load(path): the same, of a file that the executors reach by its path."""
 
     @classmethod
     def name(cls) -> str:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from strata.operators import reports
 from strata.plans import registry
 from strata.sources import files
+from strata.sources.ingest import ingest
 from strata.streaming.ingest import stream_reports
 
 
@@ -24,6 +25,28 @@ def test_event_sheet(spark, tmp_path):
     assert [tuple(r) for r in got] == [(1, "15/9-F-10", "stuck"), (2, "15/9-F-13", "kick")]
 
 
+def test_event_sheet_of_any_store(spark, tmp_path):
+    (tmp_path / "e.xlsx").write_bytes(sheet([["Well", "Event"], ["15/9-F-10", "stuck"], [None, "x"]]))
+    assert [tuple(r) for r in files.event_sheet(spark, f"file://{tmp_path}/e.xlsx").collect()] == [(1, "15/9-F-10", "stuck")]
+
+
+def test_batch_ingest(spark, tmp_path):
+    """Files to tables: ids run on over reports, a file that cannot be read and one that comes twice go to the quarantine."""
+    texts = registry.report_texts(spark, "/root/testdata/sf0.001").orderBy("pdf_path").limit(3).collect()
+    for r in texts:
+        (tmp_path / r.pdf_path).write_text(r.text)
+    (tmp_path / "bad.pdf").write_bytes(b"\xff")
+    found = files.report_files(spark, f"file://{tmp_path}")
+    both = found.unionByName(found.where(F.col("path").endswith(texts[0].pdf_path)))
+    for _ in range(2):  # a full reload
+        counts = {r.table_name: r.n for r in ingest(spark, both, str(tmp_path / "out"), lambda c: [c.decode()]).collect()}
+    assert counts["reports"] == 3 and counts["parse_errors"] == 2 and counts["survey_station"] == 6
+    assert {(r.stage, r.error_message.split(":")[0]) for r in spark.read.parquet(str(tmp_path / "out/parse_errors")).collect()} == {("parse", "UnicodeDecodeError"), ("load", "ConstraintException")}
+    ids = [r.op_id for r in spark.read.parquet(str(tmp_path / "out/operations")).orderBy("pdf_path", "op_index").collect()]
+    assert ids == list(range(1, counts["operations"] + 1))
+    assert {r.parse_quality for r in spark.read.parquet(str(tmp_path / "out/reports")).collect()} == {"full"}
+
+
 def test_decode_and_quarantine(spark, tmp_path):
     (tmp_path / "a.pdf").write_bytes(b"Start Start\fpage")
     (tmp_path / "b.txt").write_bytes(b"no")
