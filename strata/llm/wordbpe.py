@@ -33,7 +33,9 @@ from .common import worker_memo
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: bytes of a generation of the memo, and what an entry has besides its characters and ids
-BUDGET, ENTRY = 64_000_000, 190
+BUDGET, ENTRY = 96_000_000, 190
+#: characters up to which a word is kept together with the signs after it
+SHORT = 7
 _RUN = re.compile(r"\s\s")
 _SINGLE = re.compile(r"(?<=\S)(?= \S)")
 #: visible characters whose case, class and composition no version of Unicode changes
@@ -150,7 +152,7 @@ class WordEncoder:
             p, v = cut[i], found[i]
             for k in at:
                 x = get(p[k])
-                v[k] = self.lines(p[k]) if x is None else x
+                v[k] = self.built(p[k]) if x is None else x
         return [self._apart(t) if p is None else b"".join(v) for t, p, v in zip(texts, cut, found, strict=True)]
 
     def _apart(self, text: str) -> bytes:
@@ -170,12 +172,19 @@ class WordEncoder:
         first, *rest = key[1:].split("\n") if key[0] == "\n" else key.split("\n")
         return ["\n" + first if key[0] == "\n" else first, *["\n" + r for r in rest]]
 
-    def lines(self, key: str) -> bytes:
-        return self.feed.join([self.young[p] if p != "\n" else b"" for p in self.parts(key)])
+    def built(self, key: str) -> bytes:
+        """Ids of a key that learn() has taken apart: lines, or a long word with signs after it."""
+        if "\n" in key[1:]:
+            return self.feed.join([b"" if p == "\n" else self.built(p) if (v := self.young.get(p)) is None else v for p in self.parts(key)])
+        if key == "\n":
+            return b""
+        text = key.lower() if self.lowers else key
+        word = text.rstrip(_SIGNS)
+        return self.token(word) + self.token(text[len(word) :] if self.kind == "words" else "\n" + text[len(word) :])
 
     def learn(self, keys: set[str]) -> None:
         """Have all keys in the young generation; of byte-level keys with line feeds the parts."""
-        young, old, byte = self.young, self.old, self.kind == "bytes"
+        young, old, byte, before = self.young, self.old, self.kind == "bytes", len(self.young)
         if byte:
             split = [k for k in keys if "\n" in k[1:]]
             keys = keys.difference(split).union(*[self.parts(k) for k in split]) - {"\n"}  # an empty line
@@ -197,36 +206,38 @@ class WordEncoder:
                 else:
                     young[k] = b"".join([raw[t.id] for t in merge(k)])
             elif _PLAIN.fullmatch(k, k[:1] == "\n") and not (mark and mark in k):
-                young[k] = self.plain(k)
+                if (ids := self.plain(k)) is not None:
+                    young[k] = ids
             else:
                 rest.append(k)
         if rest:
             texts = rest if not byte else [k[1:] if k[:1] == "\n" else " " + k for k in rest]
             for k, e in zip(rest, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
                 young[k] = array("I", e.ids).tobytes()
-        self.used += sum(map(len, known)) + sum(map(len, fresh)) + (ENTRY + 12) * (len(known) + len(fresh))
+        self.used += sum(map(len, known)) + sum(map(len, fresh)) + (ENTRY + 12) * (len(young) - before)
 
     def token(self, key: str) -> bytes:
         """Ids of a key that is one pre-token of plain characters."""
         if (v := self.young.get(key)) is None:
             text = key if self.kind == "words" else key[1:] if key[0] == "\n" else " " + key
+            self.used += len(key)
             v = self.young[key] = self.old.get(key) or b"".join([self.raw[t.id] for t in self.merge(letters(text))])
-            self.used += len(key) + ENTRY + 12
         return v
 
-    def plain(self, key: str) -> bytes:
-        """Ids of a key of plain characters: of each pre-token, which is a key itself."""
+    def plain(self, key: str) -> bytes | None:
+        """Ids of a key of plain characters: of each pre-token, which is a key itself. None for a long word with signs after it: it rarely comes again, so its parts alone are kept."""
         text = key.lower() if self.lowers else key
         word = text.rstrip(_SIGNS)
         if word.isalpha():  # a word, maybe with signs after it
             signs = text[len(word) :]
-            return self.token(word) + (self.token(signs if self.kind == "words" else "\n" + signs) if signs else b"")
+            ids = self.token(word) + (self.token(signs if self.kind == "words" else "\n" + signs) if signs else b"")
+            return None if signs and len(key) > SHORT else ids
         if self.kind == "words":
             return b"".join([self.token(p) for p in self.pattern.findall(text)])
         parts = self.pattern.findall(text[1:] if text[0] == "\n" else " " + text)
         return b"".join([self.token(p[1:] if p[0] == " " else "\n" + p) for p in parts])
 
 
-def encoder(path: str) -> WordEncoder:
+def encoder(path: str, budget: int = BUDGET) -> WordEncoder:
     """One per Python worker, so that its memo lasts over batches and tasks."""
-    return worker_memo(f"words {path}", lambda: WordEncoder(path))
+    return worker_memo(f"words {path} {budget}", lambda: WordEncoder(path, budget))
