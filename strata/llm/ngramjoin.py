@@ -44,7 +44,7 @@ from .common import drop_table, materialize, small, worker_memo
 from .components import connected_components, forest
 
 #: shingles and documents of a block that a task packs, shingles of a bucket that a task merges, documents of a block in a search
-PACKED, PACKED_DOCS, BUCKET, BLOCK = 1_000_000, 4096, 4_000_000, 512
+PACKED, PACKED_DOCS, BUCKET, BLOCK = 500_000, 4096, 4_000_000, 512
 #: share of a merged list's cost that a probe is taken for, as in DivideSkip's choice of L
 MU = 0.1
 #: bits of a shingle's hash besides those of its bucket, and of the fewest buckets
@@ -59,7 +59,7 @@ class _Words(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) > 200_000:
+        if len(self) > 150_000:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
