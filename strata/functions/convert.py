@@ -17,6 +17,18 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+#: a character that stands at the edges of matches; no character of any script
+EDGE = "\uffff"
+
+
+def cut_at(text: Column, pattern: str) -> Column:
+    """The text in pieces: before the first match, the match, before the second, and so on; matches are at odd places. One replacement marks the matches and the cut is at one character, as a split by a pattern compiles it for every row; only a text that holds the mark itself is split so."""
+    marked = F.split(F.regexp_replace(text, pattern, f"{EDGE}$0{EDGE}"), EDGE, -1)
+    found, between = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
+    woven = F.flatten(F.transform(between, lambda b, i: F.when(i < F.size(found), F.array(b, F.get(found, i))).otherwise(F.array(b))))
+    return F.when(F.contains(text, F.lit(EDGE)), woven).otherwise(marked)
+
+
 def strip(c: Column) -> Column:
     """Without white space of any kind at both ends (trim() takes blanks only)."""
     return F.regexp_replace(c, r"^\s+|\s+$", "")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .convert import compact, let
+from .convert import compact, cut_at, let
 from .text import ABBREVIATIONS, _literal
 
 # fixed values: equipment terms, measurement units, problem words
@@ -47,19 +47,17 @@ PROBLEM = rf"(?i)\b({_any(PROBLEMS)})\b"
 
 
 def spans(text: Column, pattern: str) -> Column:
-    """array of struct(s, a, b): every match and its place. The pieces between the matches give the offsets."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    """array of struct(s, a, b): every match and its place. The lengths of the pieces between the matches give the offsets."""
     # the empty array fixes the type
     start = F.struct(F.lit(0).alias("at"), F.slice(F.array(F.struct(F.lit("").alias("s"), F.lit(0).alias("a"), F.lit(0).alias("b"))), 1, 0).alias("out"))
 
     def step(acc: Column, x: Column) -> Column:
-        a = acc["at"] + F.length(x["p"])
-        b = a + F.length(x["m"])
-        return F.struct(b.alias("at"), F.concat(acc["out"], F.array(F.struct(x["m"].alias("s"), a.alias("a"), b.alias("b")))).alias("out"))
+        a = acc["at"]
+        b = a + F.length(x["p"])
+        return F.struct(b.alias("at"), F.when(x["m"], F.concat(acc["out"], F.array(F.struct(x["p"].alias("s"), a.alias("a"), b.alias("b"))))).otherwise(acc["out"]).alias("out"))
 
-    pairs = let(F.split(text, pattern, -1), lambda between: F.transform(found, lambda m, i: F.struct(m.alias("m"), F.get(between, i).alias("p"))))
-    # most patterns match nothing in most texts
-    return F.when(text.rlike(pattern), F.aggregate(pairs, start, step, lambda acc: acc["out"])).otherwise(F.slice(F.array(F.struct(F.lit("").alias("s"), F.lit(0).alias("a"), F.lit(0).alias("b"))), 1, 0))
+    pieces = F.transform(cut_at(text, pattern), lambda p, i: F.struct(p.alias("p"), (i % 2 == 1).alias("m")))
+    return F.aggregate(pieces, start, step, lambda acc: acc["out"])
 
 
 def _number(c: Column) -> Column:
@@ -91,7 +89,7 @@ def entities(text: Column) -> Column:
     gear = F.transform(spans(text, GEAR), lambda x: _entity(x, 4, "EQUIPMENT", F.upper(x["s"]), none))
     ordered = F.array_sort(F.concat(depth, bit, measure, clock, gear))
     clash = lambda k, e: (e["char_start"] < -k["neg_end"]) & (k["char_start"] < -e["neg_end"]) & (k["rank"] <= e["rank"])
-    kept = F.aggregate(ordered, F.slice(ordered, 1, 0), lambda acc, e: F.when(F.exists(acc, lambda k: clash(k, e)), acc).otherwise(F.concat(acc, F.array(e))))
+    kept = let(ordered, lambda all_: F.aggregate(all_, F.slice(all_, 1, 0), lambda acc, e: F.when(F.exists(acc, lambda k: clash(k, e)), acc).otherwise(F.concat(acc, F.array(e)))))
     out = F.transform(F.array_sort(kept), lambda e: F.struct(e["text"].alias("text"), e["label"].alias("label"), e["value"].alias("value"), e["unit"].alias("unit"), e["char_start"].alias("char_start"), (-e["neg_end"]).alias("char_end")))
     return F.when(F.coalesce(text, F.lit("")) != "", out)
 

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .convert import let, strip
+from .convert import cut_at, let, strip
 
 # fixed values: abbreviations and their long forms
 ABBREVIATIONS = {
@@ -99,8 +99,7 @@ def expand_abbreviations(c: Column) -> Column:
     """Each abbreviation, any case, becomes its usual form with the long form in parentheses. One scan: no abbreviation is a part of another's match, and no long form holds one."""
     pattern = _abbreviation_pattern()
     long = F.create_map(*[F.lit(x) for short, form in ABBREVIATIONS.items() for x in (short.lower(), f"{short} ({form})")])
-    joined = lambda t: let(F.regexp_extract_all(t, F.lit(pattern), F.lit(0)), lambda found: let(F.split(t, pattern, -1), lambda between: F.array_join(F.transform(between, lambda p, i: F.concat(p, F.coalesce(long[F.lower(F.get(found, i))], F.lit("")))), "")))
-    return let(c, lambda t: F.when(t.rlike(pattern), joined(t)).otherwise(t))
+    return let(c, lambda t: F.array_join(F.transform(cut_at(t, pattern), lambda w, i: F.when(i % 2 == 1, F.coalesce(long[F.lower(w)], w)).otherwise(w)), ""))
 
 
 def clean_query(c: Column) -> Column:

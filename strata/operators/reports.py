@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.convert import as_bool, as_date, as_double, as_int, as_text, as_timestamp, let, strip
+from ..functions.convert import as_bool, as_date, as_double, as_int, as_text, as_timestamp, cut_at, let, strip
 from ..functions.text import _literal
 from ..sources.scratch import materialize
 
@@ -91,9 +91,10 @@ def header_values(text: Column) -> Column:
         return F.coalesce(cut, raw)
 
     def line(x: Column) -> Column:
-        values = F.split(x, names, -1)
-        value = lambda v, i: F.when(i + 2 == F.size(v), tidy(strip(F.get(v, i + 1)))).otherwise(strip(F.get(v, i + 1)))
-        return let(values, lambda v: F.transform(F.regexp_extract_all(x, F.lit(f"({names})"), F.lit(1)), lambda name, i: F.struct(name.alias("k"), value(v, i).alias("v"))))
+        """Labels are at the odd pieces, each value after its label; the last value may run on into a label."""
+        value = lambda p, i: F.when(i == F.size(p) - 1, tidy(strip(F.get(p, i)))).otherwise(strip(F.get(p, i)))
+        at = lambda p: F.filter(F.transform(p, lambda k, i: F.when(i % 2 == 1, F.struct(k.alias("k"), value(p, i + 1).alias("v")))), lambda v: v.isNotNull())
+        return let(cut_at(x, names), at)
 
     return F.flatten(F.transform(F.split(block, r"\R"), lambda x: line(strip(x))))
 
