@@ -10,14 +10,14 @@ PREFIXES = ["15_9_F_10", "15_9_F_11", "15_9_F_11_A", "15_9_F_12", "15_9_F_14", "
 FAMILIES = ["15_9_F_10", "15_9_F_11", "15_9_F_11", "15_9_F_12", "15_9_F_14", "15_9_F_15", "15_9_19", "15_9_19"]
 #: written for this repository; @v is a number
 REMARKS = [
-    "Drilled and oriented 17 1/2 inch hole to @v m MD at 3500 lpm and 140 rpm",
-    "Continued POOH with 17 1/2 inch BHA from @v m, max overpull 15 MT",
-    "Mud pumps out of service. Repaired mud pump liner at @v m",
-    "Tight hole at @v m MD when stabilizer entered shoe, reamed without swabbing",
-    "Differential stuck while RIH with 20 inch casing at @v m, worked pipe free",
-    "Circulated hole clean with 4500 lpm at @v m MD, bottoms up",
-    "Performed leak off test to 1.5 sg at @v m",
-    "Held tool box meeting prior to L/O 26 inch BHA",
+    "Oriented and drilled 17 1/2 inch section down to @v m MD, 3400 lpm, 150 rpm",
+    "POOH from @v m with 17 1/2 inch BHA, overpull of up to 15 MT",
+    "Two pumps out of service at @v m, repaired liner of mud pump",
+    "Tight spot at @v m MD while pulling stabilizer, reamed section, no swabbing",
+    "RIH with 20 inch casing, differential stuck at @v m, jarred free",
+    "Circulated bottoms up at @v m MD with 4200 lpm until shakers were clean",
+    "Leak off test below shoe at @v m, 1.52 sg",
+    "Tool box talk, then L/O of 26 inch BHA",
     "Waited on weather @v min, stand by with crew",
     "Influx observed, shut in well at @v m, kill operation started",
     "Fishing for lost cone, ran overshot to @v m, twist-off suspected",

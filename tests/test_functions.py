@@ -43,12 +43,12 @@ def test_texts(spark):
 
 
 REMARKS = [
-    ('Continued POOH with 17 1/2 inch BHA from 1798 m, max overpull', ["TRIP_OUT"], 3),
-    ("Mud pumps #2 and #3 out of service. Repaired pumps.", ["EQUIPMENT_FAILURE", "REPAIR"], 5),
-    ("Tight hole at 1335 m MD, worked without swabbing", ["TIGHT_HOLE"], 5),
-    ("Drilled and oriented hole", ["DRILL"], 0),
-    ("Performed leak off test", ["PRESSURE_TEST"], 0),
-    ('Held tool box meeting prior to L/O 26" BHA.', ["LAY_DOWN", "TOOLBOX_TALK"], 0),
+    ("POOH slowly, bit at 640 m, slight overpull seen", ["TRIP_OUT"], 3),
+    ("Top drive out of service, repaired brake", ["EQUIPMENT_FAILURE", "REPAIR"], 5),
+    ("Tight spot passed at 1420 m, swabbing observed", ["TIGHT_HOLE"], 5),
+    ("Drilled a new section", ["DRILL"], 0),
+    ("Leak off test below shoe", ["PRESSURE_TEST"], 0),
+    ("Toolbox talk, then laid out jars", ["LAY_DOWN", "TOOLBOX_TALK"], 0),
     (None, ["OTHER"], 0),
     ("", ["OTHER"], 0),
 ]
