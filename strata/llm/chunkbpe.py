@@ -107,16 +107,14 @@ class ChunkEncoder:
             a = a.start()
             b = _CUT.search(t, a + 1).start()
             spans.append((a, b, max(t.rfind(" ", 0, z), t.rfind("\n", 0, z)), z))
-        got = iter(self.words.encode_many([t for t, s in zip(fresh, spans, strict=True) if s]))
-        get, encode = self.words.young.get, self.words.encode
+        # one call for all texts, edges and words
+        got = iter(self.words.encode_many([x for t, s in zip(fresh, spans, strict=True) if s for x in (t, t[: s[0]], t[s[0] : s[1]], t[s[2] : s[3]], t[s[3] :])]))
         for t, s in zip(fresh, spans, strict=True):
             self.used += CHUNK + len(t)
             if s is None:
                 self.memo[t] = None
                 continue
-            # edges and words are pieces that the memo mostly holds by now
-            head, first, last, tail = (encode(p) if (v := get(p)) is None else v for p in (t[: s[0]], t[s[0] + 1 : s[1]], t[s[2] + 1 : s[3]], t[s[3] + 1 :]))
-            ids = next(got)
+            ids, head, first, last, tail = next(got), next(got), next(got), next(got), next(got)
             self.used += len(ids)
             self.memo[t] = (ids, s, len(head), first, last, len(ids) - len(tail))
 

@@ -26,15 +26,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialize, partitions_for
-from .wordbpe import BUDGET, encoder
+from .wordbpe import SLOTS, encoder
 
 CAPACITY = 2048
 #: pieces of one length that one task ranks
 RANKED = 20_000
 
 
-def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int | None = 0, with_ids: bool = False, memo: int = BUDGET) -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32[, ids]): documents longer than the capacity are cut, the others are one piece. memo: bytes of a generation of a worker's memo."""
+def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int | None = 0, with_ids: bool = False, memo: int = SLOTS) -> DataFrame:
+    """(doc_id, piece, start, length, ids_crc32[, ids]): documents longer than the capacity are cut, the others are one piece. memo: slots of a worker's table of pieces."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer, memo)
@@ -147,6 +147,6 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return ranked.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema) + ", sequence_id long, offset long")
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int | None = 0, with_ids: bool = False, memo: int = BUDGET) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int | None = 0, with_ids: bool = False, memo: int = SLOTS) -> DataFrame:
     """All pieces of docs with their sequence and place; with_ids adds each piece's ids as bytes."""
     return pack(materialize(cut_pieces(docs, tokenizer, capacity, end_id, with_ids, memo), "pieces"), capacity)
