@@ -55,7 +55,7 @@ def test_word_encoder():
     parts = [" ", " ", " ", "\n", "a", "B", "é", "1", "'s", "!", "\u0301", "\t", "\r", "\x1c", "Σ", "ß", "İ", "<|endoftext|>", "語", "😀", "\0", "#", "word", "Ľ", "\xad", "\xa0", "½"]
     texts = ["".join(r.choice(parts, r.integers(0, 25))) for _ in range(4000)]
     for path in (BYTE, WORD):
-        e = wordbpe.WordEncoder(path, budget=30_000)
+        e = wordbpe.WordEncoder(path, slots=1 << 14)
         for t, got in zip(texts, e.encode_many(texts), strict=True):
             assert got == e.whole(t), repr(t)
         assert all(e.encode(t) == e.whole(t) for t in texts[:300])
@@ -69,16 +69,30 @@ def test_byte_letters():
 
 
 def test_memo_is_bounded():
-    """Two generations: a full one becomes the old one, and what recurs moves over without being encoded again."""
-    e = wordbpe.WordEncoder(WORD, budget=100_000)
-    made, merge = [], e.merge
-    e.merge = lambda k: made.append(k) or merge(k)
-    often = [f"often{'x' * i}" for i in range(50)]
+    """A table that is full starts anew; what recurs before is not encoded again."""
+    e = wordbpe.WordEncoder(WORD, slots=1 << 12)
+    often = " ".join(f"often{'x' * i}" for i in range(50))
     for k in range(200):
-        e.encode(" ".join(often + [f"rare{'abcdefghij'[k % 10]}{'qrstuvwxyz'[k // 10 % 10]}{'klmnopqrst'[i % 10]}{'uvwxyzabcd'[i // 10]}{'y' * (k // 100)}" for i in range(100)]))
-        assert e.used < 100_000 + 400 * (wordbpe.ENTRY + 100)
-        assert len(e.young) + len(e.old) < 2 * (100_000 // wordbpe.ENTRY + 400)
-    assert max(Counter(k for k in made if k.startswith("often")).values()) == 1 and e.moved > 500
+        made, used = e.made, e.table.used
+        new = [f"rare{'abcdefghij'[k % 10]}{'qrstuvwxyz'[k // 10 % 10]}{'klmnopqrst'[i % 10]}{'uvwxyzabcd'[i // 10]}{'y' * (k // 100)}" for i in range(100)]
+        text = often + " " + " ".join(new)
+        assert e.encode(text) == e.whole(text)
+        assert e.table.used <= e.table.slots * 6 // 10 and e.table.end < 40_000
+        assert k == 0 or e.made - made == (100 if e.table.used > used else 150)
+    x = "word " * 10 + "z" * 300
+    assert e.encode(x) == e.whole(x) == e.encode(x)  # a long piece is not kept
+
+
+def test_table():
+    r = np.random.default_rng(14)
+    t = wordbpe.Table(1 << 10)
+    keys = np.unique(r.integers(1, 1 << 63, 600).astype(np.uint64) >> np.uint64(1))
+    keys = np.unique(np.concatenate([keys, keys[:50] + np.uint64(1)]))  # neighbours share slots
+    runs = t.store([int(i).to_bytes(4, "little") * (i % 4) for i in range(len(keys))])
+    for part in np.array_split(r.permutation(len(keys)), 5):
+        t.add(keys[part], runs[part])
+    assert (t.find(keys) == runs).all() and (t.find(keys ^ np.uint64(1 << 62)) == -1).all()
+    assert all((t.pool[v >> 20 : (v >> 20) + (v & 0xFFFFF)] == i).all() and v & 0xFFFFF == i % 4 for i, v in enumerate(runs.tolist()))
 
 
 def test_rans_round_trip():
