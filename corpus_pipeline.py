@@ -49,7 +49,7 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     import public_tokenizers
 
     # workers that serve all stages keep less than those of one
-    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), 2048, end_id=0, memo=24_000_000)
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), 2048, end_id=0, memo=1 << 20)
 
 
 STAGES = [("quality rules", quality_stage), ("line dedup", line_stage), ("n-gram jaccard join", near_duplicate_stage), ("pii", pii_stage), ("best-fit packing", packing_stage)]
